@@ -19,7 +19,7 @@ from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.values import blank_for_null
 from ledgerloom.operators.numbering import number_rows
 from ledgerloom.operators.project import any_present
-from ledgerloom.operators.sizing import broadcast_if_small
+from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 
 # Column names of the rule table.
 GROUP = "mapping_rule_column_group_id"
@@ -166,7 +166,8 @@ def resolve_ids(long: DataFrame, columns: DataFrame, by: Mapping[str, str], take
     condition = F.lit(True)
     for k, c in zip(keys, by):
         condition = condition & (long[quoted(c)] == F.col(k))
-    return long.join(broadcast_if_small(side), condition, "inner").drop(*keys, *by)
+    # Few names label very many rows: shuffling on them would fill a handful of tasks.
+    return long.join(broadcast_if_few(side, MAX_RULE_COLUMNS), condition, "inner").drop(*keys, *by)
 
 
 def scoped_rules(rules: DataFrame, meta: RuleMetadata, rule_set_key: int) -> DataFrame:
@@ -290,6 +291,21 @@ def missing_target_rules(rules: DataFrame, target: object, target_data: DataFram
     return missing_rules(used, with_target_prefix(target_data, target), keys)
 
 
+def with_presence(rules: DataFrame, data: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """All rules with a flag: their key values occur in the data; NULL equals NULL."""
+    names = {k: f"__key{i}" for i, k in enumerate(keys)}
+    present = (
+        blank_for_null(data.select(*[F.col(quoted(k)).alias(n) for k, n in names.items()]))
+        .distinct()
+        .withColumn("__present", F.lit(True))
+    )
+    condition = F.lit(True)
+    for k, n in names.items():
+        condition = condition & (F.coalesce(rules[quoted(k)], F.lit("")) == F.col(n))
+    joined = rules.join(present, condition, "left").drop(*names.values())
+    return joined.withColumn(flag, F.col("__present").isNotNull()).drop("__present")
+
+
 def flag_missing(rules: DataFrame, flag: str, missing: DataFrame, group: str = GROUP) -> DataFrame:
     """Set a flag to 1 on every row of the missing rules and to 0 elsewhere."""
     ids = missing.select(group).distinct().withColumn("__missing", F.lit(1))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
@@ -16,8 +16,7 @@ from ledgerloom.functions.values import OPEN_END_DATE, blank_for_null, stringifi
 from ledgerloom.operators import rules as R
 from ledgerloom.operators.mutate import replace_group, upsert
 from ledgerloom.operators.numbering import first_rows, paginate
-from ledgerloom.operators.profile import file_listing
-from ledgerloom.operators.project import expression_column, filter_where, given
+from ledgerloom.operators.project import any_present, expression_column, filter_where, given
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 from ledgerloom.plans.status import JobResult
 from ledgerloom.sinks.tables import TARGET_SHEET_ROWS, export_csv, overwrite_partitions
@@ -55,13 +54,9 @@ def rule_page(view: DataFrame, start: int, size: int, sort_order: str | None = N
 
 
 def rows_to_json(df: DataFrame) -> DataFrame:
-    """Each row as JSON text: keys sorted, blank for NULL."""
+    """Each row as JSON text with sorted keys: blank for NULL text, no entry for other NULLs."""
     filled = blank_for_null(df)
-    columns = [
-        F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(c) if t != "string" and has_null else F.col(quoted(c))
-        for c, t, has_null in sorted((f.name, f.dataType.simpleString(), f.nullable) for f in filled.schema.fields)
-    ]
-    return filled.select(F.to_json(F.struct(*columns)).alias("json"))
+    return filled.select(F.to_json(F.struct(*[F.col(quoted(c)) for c in sorted(filled.columns)])).alias("json"))
 
 
 @dataclass
@@ -142,21 +137,35 @@ def validate_rules(
         if text:
             raise SchemaMismatch(f"{where} {text}")
 
-    gone_source = R.missing_rules(wide, source, names["src"]).select(R.GROUP)
-    gone_targets = [R.missing_target_rules(wide, t, d).select(R.GROUP) for t, d in targets.items()]
-    flagged = R.flag_missing(long, R.MISSING_SOURCE, gone_source)
-    if gone_targets:
-        flagged = R.flag_missing(flagged, R.MISSING_TARGET, reduce(DataFrame.union, gone_targets))
-    scopes = [("source", gone_source)] + [(f"target {i}", g) for i, g in enumerate(gone_targets, 1)]
-    findings = reduce(
-        DataFrame.unionByName,
-        [
-            g.agg(F.count(F.lit(1)).alias("missing_rules")).select(
-                F.lit(i).alias("position"), F.lit(scope).alias("scope"), "missing_rules"
-            )
-            for i, (scope, g) in enumerate(scopes)
-        ],
+    # One pass: the pivoted rules meet source and targets in turn, each reduced to distinct keys.
+    found = R.with_presence(wide, source, names["src"], "__in_source")
+    gone = {"source": ~F.col("__in_source")}
+    for i, (target, data) in enumerate(targets.items(), 1):
+        keys = [c for c in wide.columns if (R.target_of(c) or ("", ""))[0] == str(target)]
+        found = R.with_presence(found, R.with_target_prefix(data, target), keys, f"__in_target{i}")
+        gone[f"target {i}"] = any_present(keys) & ~F.col(f"__in_target{i}")
+    target_gone = reduce(Column.__or__, [c for scope, c in gone.items() if scope != "source"], F.lit(False))
+    flags = found.select(
+        R.GROUP,
+        gone["source"].cast("int").alias(R.MISSING_SOURCE),
+        target_gone.cast("int").alias(R.MISSING_TARGET),
+        *[c.cast("int").alias(f"__gone{i}") for i, c in enumerate(gone.values())],
+    )
+    missing = flags.where((F.col(R.MISSING_SOURCE) == 1) | (F.col(R.MISSING_TARGET) == 1)).select(
+        R.GROUP, F.col(R.MISSING_SOURCE).alias("__source"), F.col(R.MISSING_TARGET).alias("__target")
     )
+    flagged = long.join(missing, R.GROUP, "left").withColumns(
+        {
+            R.MISSING_SOURCE: F.coalesce("__source", F.lit(0)),
+            R.MISSING_TARGET: F.coalesce("__target", F.lit(0)),
+        }
+    )
+    sums = flags.agg(*[F.coalesce(F.sum(f"__gone{i}"), F.lit(0)).alias(f"__gone{i}") for i in range(len(gone))])
+    rows = [
+        F.struct(F.lit(i).alias("position"), F.lit(scope).alias("scope"), F.col(f"__gone{i}").cast("bigint").alias("missing_rules"))
+        for i, scope in enumerate(gone)
+    ]
+    findings = sums.select(F.inline(F.array(*rows)))
     return Validation(flagged.select(*long.columns), findings)
 
 
@@ -288,20 +297,35 @@ def _forward_filled(cells: Sequence[str | None]) -> list[str]:
     return out
 
 
+def _in_sheet_order(raw: DataFrame) -> DataFrame:
+    """Number the rows from 0: files by name, rows by their place in the file.
+
+    A multi-line file is never split, so row ids are consecutive within a file
+    and only one row per file (its first id and its size) is needed to place it.
+    """
+    placed = raw.select("*", F.col("_metadata.file_name").alias("__file"), F.monotonically_increasing_id().alias("__at"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = (
+        placed.groupBy("__file")
+        .agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__size"))
+        .select("__file", "__first", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    )
+    return placed.join(F.broadcast(files), "__file").select(
+        *raw.columns, (F.col("__before") + F.col("__at") - F.col("__first")).alias(R.GROUP)
+    )
+
+
 def read_import(spark: SparkSession, path: str) -> ImportSheet:
     """Read a CSV export of an import sheet with two or three header rows.
 
     ``Sources`` in the first cell: role, set name and column name rows.
     ``Source``: role and column name rows.  Merged cells count for the columns
-    to their right, and all values are text: ``NA`` stays ``NA``.
+    to their right, and all values are text: ``NA`` stays ``NA``.  A folder of
+    part files counts as one sheet in the order of their names.
     """
-    files = file_listing(spark, path).where(F.col("length") > 0).limit(2).count()
-    if files != 1:
-        raise SchemaMismatch("an import is one file")
-    # One multi-line file is one partition, so the row id is the place in the sheet.
-    raw = spark.read.csv(
-        path, header=False, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\\N"
-    ).withColumn(R.GROUP, F.monotonically_increasing_id())
+    raw = _in_sheet_order(
+        spark.read.csv(path, header=False, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\\N")
+    )
     head = [list(r)[:-1] for r in raw.where(F.col(R.GROUP) < 3).orderBy(R.GROUP).collect()]
     first = (head[0][0] or "").strip().lower() if head else ""
     if first == "sources" and len(head) == 3:

@@ -82,4 +82,11 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -35,18 +35,24 @@ def records_span_lines(spark: SparkSession, path: str | list[str]) -> bool:
 
 
 def csv_robust(
-    spark: SparkSession, path: str | list[str], multi_line: bool | None = None, corrupt: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool | None = None,
+    corrupt: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """All-text scan: line breaks in quoted fields, doubled quotes, bad lines kept.
 
     A file with multi-line records cannot be split.  With ``multi_line=None``
     large inputs are first checked in parallel for such records, and are read
-    in splits when there are none; the rows are the same either way.  With
+    in splits when there are none; the rows are the same either way (``size`` saves
+    the listing when the caller knows it).  With
     ``corrupt`` the raw text of malformed lines is in ``_corrupt_record``.
     """
     if multi_line is None:
-        paths = [path] if isinstance(path, str) else path
-        size = file_listing(spark, paths, recursive=False).agg(F.sum("length").alias("n")).first()["n"] or 0
+        if size is None:
+            paths = [path] if isinstance(path, str) else path
+            size = file_listing(spark, paths, recursive=False).agg(F.sum("length").alias("n")).first()["n"] or 0
         multi_line = size < SPLIT_WORTHWHILE_BYTES or records_span_lines(spark, path)
     reader = (
         spark.read.option("header", True)
@@ -149,15 +155,32 @@ def landing_file_name(subject: str, suffix: str, prefix: str = "") -> str:
     return f"I2I_{prefix}{SUBJECT_WORDS[subject]}_NIP_{suffix}.CSV"
 
 
+def named_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, name and size of the CSV files of a folder.
+
+    A file may also be a directory of parts, as Spark writes it; the directory
+    then counts as the file.
+    """
+    whole = r"^(.*/[^/]+\.(?:csv|CSV))/part-[^/]+$"
+    listed = file_listing(spark, folder)
+    base = F.when(F.col("path").rlike(whole), F.regexp_extract("path", whole, 1)).otherwise(F.col("path"))
+    return (
+        listed.groupBy(base.alias("path"))
+        .agg(F.sum("length").alias("length"))
+        .withColumn("name", F.element_at(F.split("path", "/"), -1))
+    )
+
+
 def landing_choice(
     spark: SparkSession, folder: str, subject: str, suffix: str, books: Sequence[str] = BOOK_PREFIXES
 ) -> DataFrame:
     """The preferred landing file of a subject and month: at most one row."""
     rank = {landing_file_name(subject, suffix, b): i for i, b in enumerate(books)}
     pairs = [F.lit(x) for item in rank.items() for x in item]
-    files = file_listing(spark, folder).select("path", "length", F.element_at(F.split("path", "/"), -1).alias("name"))
-    wanted = files.where(F.col("name").isin(*rank)).withColumn(
-        "preference", F.element_at(F.create_map(*pairs), F.col("name"))
+    wanted = (
+        named_files(spark, folder)
+        .where(F.col("name").isin(*rank))
+        .withColumn("preference", F.element_at(F.create_map(*pairs), F.col("name")))
     )
     return wanted.orderBy("preference", "path").limit(1)
 
@@ -187,14 +210,17 @@ LINES = (
 )
 
 
-def grid_files(spark: SparkSession, root: str, lines: Sequence[str], years: Sequence[int]) -> list[tuple[str, str, int]]:
-    """(path, line, year) of the files a grid of lines and years names and that exist."""
-    name = F.element_at(F.split("path", "/"), -1)
+def grid_files(
+    spark: SparkSession, root: str, lines: Sequence[str], years: Sequence[int]
+) -> list[tuple[str, int, str, int]]:
+    """(path, size, line, year) of the files a grid of lines and years names and that exist."""
+    name = F.col("name")
     parts = r"^([^-]+)-bordereaux.*?-(\d{4})\.csv$"
     rows = (
-        file_listing(spark, root, "*.csv")
+        named_files(spark, root)
         .select(
             "path",
+            "length",
             F.regexp_extract(name, parts, 1).alias("line"),
             F.regexp_extract(name, parts, 2).try_cast("int").alias("year"),
         )
@@ -202,7 +228,7 @@ def grid_files(spark: SparkSession, root: str, lines: Sequence[str], years: Sequ
         .orderBy("line", "year", "path")
         .collect()
     )
-    return [(r["path"], r["line"], r["year"]) for r in rows]
+    return [(r["path"], r["length"], r["line"], r["year"]) for r in rows]
 
 
 def grid_load(
@@ -218,10 +244,10 @@ def grid_load(
     meet by column name.
     """
     frames = [
-        canonical_headers(csv_robust(spark, path, multi_line)).select(
+        canonical_headers(csv_robust(spark, path, multi_line, size=size)).select(
             "*", F.lit(line).alias("line"), F.lit(year).alias("year")
         )
-        for path, line, year in grid_files(spark, root, lines, years)
+        for path, size, line, year in grid_files(spark, root, lines, years)
     ]
     if not frames:
         raise FileNotFoundError(f"no file of the grid in {root}")
@@ -251,11 +277,12 @@ def sheet_files(spark: SparkSession, root: str, skip_words: Sequence[str] = ("ep
     Temporary workbooks (``~$``), skipped workbooks and unknown sheets are left out.
     """
     pairs = [F.lit(x) for item in SHEET_LINES.items() for x in item]
-    segments = F.split(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "/")
-    workbook = F.element_at(segments, -2)
-    sheet = F.lower(F.regexp_replace(F.element_at(segments, -1), r"(?i)\.csv$", ""))
-    files = file_listing(spark, root, "*.csv").select(
-        "path", workbook.alias("workbook"), F.try_element_at(F.create_map(*pairs), sheet).alias("line")
+    sheet = F.lower(F.regexp_replace("name", r"(?i)\.csv$", ""))
+    files = named_files(spark, root).select(
+        "path",
+        "length",
+        F.element_at(F.split("path", "/"), -2).alias("workbook"),
+        F.try_element_at(F.create_map(*pairs), sheet).alias("line"),
     )
     skipped = F.col("workbook").contains("~$")
     for word in skip_words:
@@ -267,7 +294,8 @@ def consolidate_sheets(spark: SparkSession, root: str, skip_words: Sequence[str]
     """All rows of the routed sheets, by column name, with their line; copies dropped."""
     files = sheet_files(spark, root, skip_words).orderBy("line", "path").collect()
     frames = [
-        canonical_headers(csv_robust(spark, f["path"])).select("*", F.lit(f["line"]).alias("line")) for f in files
+        canonical_headers(csv_robust(spark, f["path"], size=f["length"])).select("*", F.lit(f["line"]).alias("line"))
+        for f in files
     ]
     if not frames:
         raise FileNotFoundError(f"no known sheet in {root}")
