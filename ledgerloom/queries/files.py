@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,24 +208,33 @@ GRID_YEARS = tuple(range(1995, 2002))
 def write_grid(spark: SparkSession, folder: str) -> str:
     """One file per line and year from order lines; later files have one more column."""
     root = scratch_path(spark, "bronze")
+    year = F.year("l_shipdate")
     items = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("Policy #"),
         F.col("l_linenumber").alias("EndorsementNumber"),
         day("l_shipdate").alias("Policy Effective Date"),
         F.col("l_extendedprice").alias("CoveragePremium"),
         F.col("l_returnflag").alias("Fire & Theft"),
-        "l_linestatus",
+        year.alias("year"),
+        file_name(F.col("l_linestatus"), GRID_LINES, year),
     )
-    for status, line in GRID_LINES.items():
-        for year in GRID_YEARS:
-            rows = items.where(
-                (F.col("l_linestatus") == status) & F.col("Policy Effective Date").startswith(str(year))
-            ).drop("l_linestatus")
-            rows = rows if year >= 1998 else rows.drop("Fire & Theft")
-            sink.export_csv(rows, f"{root}/{year}/{line}-bordereaux-{year}.csv")
+    write_named(items.where("year >= 1998").drop("year"), f"{root}/late")
+    write_named(items.where("year < 1998").drop("year", "Fire & Theft"), f"{root}/early")
     return root
 
 
+def file_name(code: Column, lines: dict[str, str], year: Column) -> Column:
+    """``<line>-bordereaux-<year>.csv`` of a row."""
+    pairs = [F.lit(x) for item in lines.items() for x in item]
+    line = F.element_at(F.create_map(*pairs), code)
+    return F.concat(line, F.lit("-bordereaux-"), year.cast("string"), F.lit(".csv")).alias("file")
+
+
+def write_named(df: DataFrame, folder: str, *names: str) -> None:
+    """CSV files named by columns, all in one write."""
+    df.write.option("header", True).option("escape", '"').partitionBy(*(names or ("file",))).csv(folder)
+
+
 GRID_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS policy_number, CAST(l_linenumber AS VARCHAR) AS endorsement_number,
 CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS policy_effective_date, CAST(l_extendedprice AS VARCHAR) AS coverage_premium,
 CASE WHEN year(l_shipdate) >= 1998 THEN l_returnflag END AS "fire_AND_theft",
@@ -246,20 +255,18 @@ CASE l_returnflag WHEN 'A' THEN 'property' WHEN 'N' THEN 'fee' ELSE 'umbrella' E
 def sheet_routing(spark: SparkSession, folder: str) -> DataFrame:
     """Sheets of workbooks to lines; temporary, skipped and unknown ones stay out."""
     root = scratch_path(spark, "workbooks")
-    items = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("Policy #"), F.col("l_linestatus").alias("Status"), "l_returnflag")
-    for book, sheet, flag, status in (
-        ("north", "Property", "A", "O"),
-        ("south", "property", "A", "F"),
-        ("north", "Fees", "N", None),
-        ("south", "Excess", "R", "F"),
-        ("west", "Umbrella", "R", "O"),
-        ("~$north", "Property", "N", None),
-        ("EPLI book", "Property", "N", None),
-        ("west", "Notes", "N", None),
-    ):
-        rows = items.where(F.col("l_returnflag") == flag)
-        rows = rows if status is None else rows.where(F.col("Status") == status)
-        sink.export_csv(rows.drop("l_returnflag"), f"{root}/{book}/{sheet}.csv")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    sheets = {"A": ["Property"], "R": ["Umbrella", "Excess"], "N": ["Fees"]}
+    book = F.when(status == "O", "north").otherwise("south")
+    places = [F.when(flag == f, F.struct(book.alias("book"), F.lit(f"{s}.csv").alias("file"))) for f, names in sheets.items() for s in names]
+    unwanted = [("~$north", "Property"), ("EPLI book", "Property"), ("west", "Notes")]
+    places += [
+        F.when(flag == "N", F.struct(F.lit(b).alias("book"), F.lit(f"{s}.csv").alias("file"))) for b, s in unwanted
+    ]
+    rows = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("Policy #"), status.alias("Status"), F.explode(F.array_compact(F.array(*places))).alias("place")
+    )
+    write_named(rows.select("Policy #", "Status", "place.*"), root, "book", "file")
     return source.consolidate_sheets(spark, root)
 
 

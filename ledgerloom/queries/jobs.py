@@ -19,7 +19,7 @@ from ledgerloom.plans.selection import (
 )
 from ledgerloom.queries import mapping as M
 from ledgerloom.queries.cleaning import mixed_dates
-from ledgerloom.queries.files import RUNS_SQL, write_runs
+from ledgerloom.queries.files import RUNS_SQL, file_name, write_named, write_runs
 from ledgerloom.queries.registry import day, query, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sink
@@ -491,20 +491,21 @@ def write_bordereaux(spark: SparkSession, folder: str) -> str:
         .when(F.col("l_linenumber") < 5, F.date_format(shipped, "MM/dd/yyyy"))
         .otherwise(F.date_diff(shipped, F.to_date(F.lit("1899-12-30"))).cast("string"))
     )
+    year = F.year(shipped)
     items = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("Policy Number"),
         F.col("l_linenumber").cast("string").alias("EndorsementNumber"),
         text.alias("InceptionDate"),
         F.col("l_linestatus").alias("State.1"),
-        "l_returnflag",
-        F.year(shipped).alias("year"),
+        year.alias("year"),
+        file_name(F.col("l_returnflag"), BORDEREAUX_LINES, year),
     )
-    header = spark.sql("SELECT 'Policy Number', 'Endorsement', 'Policy Effective Date', 'State'")
-    for flag, line in BORDEREAUX_LINES.items():
-        for year in BORDEREAUX_YEARS:
-            rows = items.where((F.col("l_returnflag") == flag) & (F.col("year") == year)).drop("l_returnflag", "year")
-            rows = rows.union(rows).union(header)
-            sink.export_csv(rows if year > 1996 else rows.drop("State.1"), f"{root}/{year}/{line}-bordereaux-{year}.csv")
+    headers = items.select(
+        F.lit("Policy Number"), F.lit("Endorsement"), F.lit("Policy Effective Date"), F.lit("State"), "year", "file"
+    ).distinct()
+    rows = items.union(items).union(headers)
+    write_named(rows.where("year > 1996").drop("year"), f"{root}/late")
+    write_named(rows.where("year <= 1996").drop("year", "State.1"), f"{root}/early")
     return root
 
 

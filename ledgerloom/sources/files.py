@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.headers import canonical_headers, quoted
+from ledgerloom.functions.headers import canonical_names, quoted
 from ledgerloom.functions.schemas import SchemaMismatch
 from ledgerloom.operators.combine import union_evolving
 from ledgerloom.operators.profile import file_listing
@@ -40,6 +40,7 @@ def csv_robust(
     multi_line: bool | None = None,
     corrupt: bool = False,
     size: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All-text scan: line breaks in quoted fields, doubled quotes, bad lines kept.
 
@@ -62,9 +63,11 @@ def csv_robust(
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
+    if columns is not None and not corrupt:
+        return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns])).csv(path)
     if not corrupt:
         return reader.csv(path)
-    names = reader.csv(path).columns
+    names = columns or reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
@@ -159,7 +162,7 @@ def named_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path, name and size of the CSV files of a folder.
 
     A file may also be a directory of parts, as Spark writes it; the directory
-    then counts as the file.
+    then counts as the file, and a partition value (``key=value``) as its name.
     """
     whole = r"^(.*/[^/]+\.(?:csv|CSV))/part-[^/]+$"
     listed = file_listing(spark, folder)
@@ -167,10 +170,15 @@ def named_files(spark: SparkSession, folder: str) -> DataFrame:
     return (
         listed.groupBy(base.alias("path"))
         .agg(F.sum("length").alias("length"))
-        .withColumn("name", F.element_at(F.split("path", "/"), -1))
+        .withColumn("name", _segment(-1))
     )
 
 
+def _segment(place: int) -> Column:
+    """A segment of the path from its end, without a partition column name."""
+    return F.regexp_replace(F.element_at(F.split("path", "/"), place), "^[^=]*=", "")
+
+
 def landing_choice(
     spark: SparkSession, folder: str, subject: str, suffix: str, books: Sequence[str] = BOOK_PREFIXES
 ) -> DataFrame:
@@ -231,6 +239,29 @@ def grid_files(
     return [(r["path"], r["length"], r["line"], r["year"]) for r in rows]
 
 
+def _scan_by_header(spark: SparkSession, files: Sequence[tuple[str, int, str]], multi_line: bool | None) -> list[DataFrame]:
+    """One scan per line and header over (path, size, line) files, with ``line`` and ``__path``.
+
+    Files of a line usually share their header for years, so the plan grows
+    with the number of different headers and not with the number of files.
+    """
+    groups: dict[tuple[str, tuple[str, ...]], list[tuple[str, int]]] = {}
+    for path, size, line in files:
+        header = tuple(csv_robust(spark, path, True).columns)
+        groups.setdefault((line, header), []).append((path, size))
+    scans = []
+    for (line, header), members in groups.items():
+        paths = [p for p, _ in members]
+        raw = csv_robust(spark, paths, multi_line, size=sum(n for _, n in members), columns=header)
+        named = raw.select(
+            *[F.col(quoted(c)).alias(n) for c, n in zip(header, canonical_names(header))],
+            F.lit(line).alias("line"),
+            F.col("_metadata.file_path").alias("__path"),
+        )
+        scans.append(named)
+    return scans
+
+
 def grid_load(
     spark: SparkSession,
     root: str,
@@ -238,20 +269,14 @@ def grid_load(
     years: Sequence[int] = tuple(range(2019, 2025)),
     multi_line: bool | None = None,
 ) -> DataFrame:
-    """All files of the grid as one frame with ``line`` and ``year``, headers made canonical.
-
-    Each file has its own header, so each is a scan of its own and the frames
-    meet by column name.
-    """
-    frames = [
-        canonical_headers(csv_robust(spark, path, multi_line, size=size)).select(
-            "*", F.lit(line).alias("line"), F.lit(year).alias("year")
-        )
-        for path, size, line, year in grid_files(spark, root, lines, years)
-    ]
-    if not frames:
+    """All files of the grid as one frame with ``line`` and ``year``, headers made canonical."""
+    files = [(path, size, line) for path, size, line, _ in grid_files(spark, root, lines, years)]
+    if not files:
         raise FileNotFoundError(f"no file of the grid in {root}")
-    return union_evolving(frames)
+    year = F.regexp_extract("__path", r"-(\d{4})\.csv(?:/part-[^/]*)?$", 1).cast("int")
+    return union_evolving(
+        [scan.withColumn("year", year).drop("__path") for scan in _scan_by_header(spark, files, multi_line)]
+    )
 
 
 # Sheet name -> line.
@@ -281,7 +306,7 @@ def sheet_files(spark: SparkSession, root: str, skip_words: Sequence[str] = ("ep
     files = named_files(spark, root).select(
         "path",
         "length",
-        F.element_at(F.split("path", "/"), -2).alias("workbook"),
+        _segment(-2).alias("workbook"),
         F.try_element_at(F.create_map(*pairs), sheet).alias("line"),
     )
     skipped = F.col("workbook").contains("~$")
@@ -292,11 +317,8 @@ def sheet_files(spark: SparkSession, root: str, skip_words: Sequence[str] = ("ep
 
 def consolidate_sheets(spark: SparkSession, root: str, skip_words: Sequence[str] = ("epli",)) -> DataFrame:
     """All rows of the routed sheets, by column name, with their line; copies dropped."""
-    files = sheet_files(spark, root, skip_words).orderBy("line", "path").collect()
-    frames = [
-        canonical_headers(csv_robust(spark, f["path"], size=f["length"])).select("*", F.lit(f["line"]).alias("line"))
-        for f in files
-    ]
-    if not frames:
+    rows = sheet_files(spark, root, skip_words).orderBy("line", "path").collect()
+    if not rows:
         raise FileNotFoundError(f"no known sheet in {root}")
-    return union_evolving(frames).dropDuplicates()
+    scans = _scan_by_header(spark, [(r["path"], r["length"], r["line"]) for r in rows], None)
+    return union_evolving([scan.drop("__path") for scan in scans]).dropDuplicates()
