@@ -20,7 +20,7 @@ from ledgerloom.functions.headers import quoted
 ISO_DATE = "yyyy-MM-dd"
 # Day zero of the serial dates that spreadsheets write.
 SERIAL_EPOCH = "1899-12-30"
-OPEN_END_DATE = dt.datetime(9999, 12, 31)
+OPEN_END_DATE = "9999-12-31 00:00:00"
 
 
 def parse_dates(df: DataFrame, columns: Iterable[str], fmt: str = ISO_DATE) -> DataFrame:
@@ -128,6 +128,15 @@ def clean_rows(df: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(T.StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    """Unicode NFC; Spark has no built-in for it, so whole Arrow batches go to Python."""
+def _normalized(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
+
+
+def nfc(text: str | Column) -> Column:
+    """Unicode NFC; Spark has no built-in for it.
+
+    ASCII text is already normal and stays in the JVM; only the rest goes to
+    Python, in Arrow batches.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(_normalized(F.when(column.rlike(r"[^\x00-\x7F]"), column)), column)

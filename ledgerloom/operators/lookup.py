@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
+from ledgerloom.operators.project import within
 from ledgerloom.operators.sizing import broadcast_if_small
 
 
@@ -75,16 +76,28 @@ def fallback_lookup(
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Rows whose key columns occur in a key list, compared as text.
+    """Rows whose key columns occur in a key list; unlike types compare as text.
 
     A key listed twice keeps its rows twice, as a join does.
     """
+    have, listed_types = dict(df.dtypes), dict(keys.dtypes)
     names = [f"__key{i}" for i in range(len(on))]
-    listed = keys.select(*[F.col(quoted(c)).cast("string").alias(n) for n, c in zip(names, on.values())])
-    condition = F.lit(True)
-    for n, c in zip(names, on):
-        condition = condition & (df[quoted(c)].cast("string") == F.col(n))
-    return df.join(broadcast_if_small(listed), condition, "inner").drop(*names)
+    condition, listed = F.lit(True), []
+    for n, (c, k) in zip(names, on.items()):
+        key, value = F.col(quoted(k)), df[quoted(c)]
+        if have[c] != listed_types[k]:
+            key, value = key.cast("string"), value.cast("string")
+        listed.append(key.alias(n))
+        condition = condition & (value == F.col(n))
+    return df.join(broadcast_if_small(keys.select(*listed)), condition, "inner").drop(*names)
+
+
+def period_of(parameters: DataFrame, start: str, end: str) -> tuple:
+    """Both bounds of a one-row parameter relation; another number of rows is an error."""
+    rows = parameters.select(start, end).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("the parameter relation must hold exactly one row")
+    return rows[0][0], rows[0][1]
 
 
 def within_parameters(
@@ -92,10 +105,8 @@ def within_parameters(
 ) -> DataFrame:
     """Rows inside the period of a one-row parameter relation.
 
-    The bounds are scalar subqueries: they are evaluated once, a second
-    parameter row is an error, and no pairs are formed.
+    The one row is read first, so its values are literals of the filter and
+    reach the file scan; no pairs are formed.
     """
-    value = F.col(quoted(day))
-    upper = parameters.select(end).scalar()
-    test = value >= parameters.select(start).scalar()
-    return df.where(test & ((value <= upper) if closed else (value < upper)))
+    first, last = period_of(parameters, start, end)
+    return df.where(within(F.col(quoted(day)), F.lit(first), F.lit(last), closed))

@@ -44,12 +44,13 @@ def number_rows(
 
     Rows are range-sorted and stored once; the number is the row's place in its
     stored partition plus the sizes of the partitions before it.  Only those
-    sizes (one per partition) meet in one place.  Equal rows may fall in
-    different partitions, so one hot value cannot fill a single task.
+    sizes (one per partition) meet in one place.  Copies of a row are told apart
+    by the input partition they come from, so they can fall in different ranges,
+    and a repeated task sends each row to the same range again.
     """
     scratch_root(df.sparkSession)
     stored = (
-        df.withColumn("__tie", F.monotonically_increasing_id())
+        df.withColumn("__tie", F.spark_partition_id())
         .orderBy(*order_columns(df, order), F.col("__tie"))
         .drop("__tie")
         .checkpoint()

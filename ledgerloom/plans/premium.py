@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.values import parsed_number
-from ledgerloom.operators.lookup import restrict_to_keys, within_parameters
+from ledgerloom.operators.lookup import period_of, restrict_to_keys
 from ledgerloom.operators.project import within
 
 KEYS = (
@@ -100,14 +100,13 @@ def premium_by_line(lines: Sequence[Line], policies: DataFrame, parameters: Data
     ``policies`` holds policy_number and endorsement_number, ``parameters`` one
     row with start_date and end_date.
     """
+    start, end = (F.lit(d) for d in period_of(parameters, "start_date", "end_date"))
+    keys = {"policy_number": "policy_number", "endorsement_number": "endorsement_number"}
     parts = []
     for line in lines:
-        listed = restrict_to_keys(
-            line.data, policies, {"policy_number": "policy_number", "endorsement_number": "endorsement_number"}
-        )
-        in_period = within_parameters(listed, "commit_date", parameters, "start_date", "end_date", closed)
+        in_period = line.data.where(within(F.col("commit_date"), start, end, closed))
         parts.append(
-            in_period.select(
+            restrict_to_keys(in_period, policies, keys).select(
                 F.lit(line.name).alias("source_table"),
                 "policy_number",
                 "endorsement_number",

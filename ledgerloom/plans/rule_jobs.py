@@ -179,7 +179,7 @@ def new_rule_values(user: str, now: Column | None = None) -> dict[str, Column]:
         R.MISSING_SOURCE: F.lit(0),
         R.MISSING_TARGET: F.lit(0),
         "begin_date": stamp,
-        "end_date": F.lit(OPEN_END_DATE),
+        "end_date": F.lit(OPEN_END_DATE).cast("timestamp"),
         "curr_ind": F.lit("Y"),
         "active_ind": F.lit("Y"),
         "create_date": stamp,

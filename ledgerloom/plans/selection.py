@@ -13,7 +13,7 @@ from ledgerloom.functions.values import blank_for_null, stringified
 from ledgerloom.operators.profile import key_check, rowcount_status
 from ledgerloom.operators.project import filter_where, full_query, project
 from ledgerloom.plans.status import JobResult
-from ledgerloom.sinks.tables import overwrite, overwrite_self
+from ledgerloom.sinks.tables import overwrite
 from ledgerloom.sources.files import latest_runs
 
 FULL_QUERY = "FULL_QUERY"
@@ -37,23 +37,23 @@ def publish_selection_set(
     conditions: str | None = None,
     query_type: str = "FILTER",
     key: Sequence[str] = (),
-    earlier: DataFrame | None = None,
+    earlier: Sequence[str] | None = None,
 ) -> JobResult:
     """Snapshot the newest runs of a dataset as text.
 
-    With an earlier snapshot (a refresh) the columns must be the same.
+    With the columns of an earlier snapshot (a refresh) they must be the same.
     """
     rows = select_rows(latest_runs(spark, dataset), columns, conditions, query_type)
-    if earlier is not None and set(earlier.columns) != set(rows.columns):
+    if earlier is not None and set(earlier) != set(rows.columns):
         return JobResult("ERROR", "Mismatched columns")
     if key and not key_check(rows, key).first()["is_unique"]:
         return JobResult("ERROR", f"Provided Primary Key: {list(key)} is not unique in this dataset.")
-    (overwrite if earlier is None else overwrite_self)(stringified(rows), output)
+    overwrite(stringified(rows), output)
     return JobResult("OK", data=spark.read.parquet(output))
 
 
 def refresh_selection_set(spark: SparkSession, dataset: str, output: str, **arguments) -> JobResult:
-    return publish_selection_set(spark, dataset, output, earlier=spark.read.parquet(output), **arguments)
+    return publish_selection_set(spark, dataset, output, earlier=spark.read.parquet(output).columns, **arguments)
 
 
 def create_definition(

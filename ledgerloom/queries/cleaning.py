@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.headers import canonical_headers, upper_headers
 from ledgerloom.functions.schemas import align_schema, describe_columns, empty_frame, schema_gate
 from ledgerloom.functions.values import (
+    OPEN_END_DATE,
     blank_for_null,
     clean_rows,
     month_end,
@@ -140,7 +139,7 @@ def scalar_pack(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_replace("o_orderpriority", "^[0-9]-", "").alias("stripped"),
         F.get(F.split(label, "/", 2), 0).alias("first_part"),
         F.get(F.split(label, "/", 2), 1).alias("rest_part"),
-        F.lit(dt.datetime(9999, 12, 31)).cast("timestamp_ntz").cast("string").alias("open_end"),
+        F.lit(OPEN_END_DATE).cast("timestamp").cast("string").alias("open_end"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import rules as R
+from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.plans import rule_jobs as J
 from ledgerloom.plans.bordereaux import bordereaux_load
 from ledgerloom.plans.ingest import References, ingest_subject
@@ -257,7 +258,7 @@ def references(spark: SparkSession, folder: str, coverage: DataFrame, cov_desc:
     organization = (
         table(spark, folder, "nation")
         .where("n_name <> 'NATION_3'")
-        .join(F.broadcast(table(spark, folder, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(broadcast_if_small(table(spark, folder, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_name").alias("organization"),
             F.col("r_name").alias("book"),

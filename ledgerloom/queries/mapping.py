@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import rules as R
 from ledgerloom.operators.combine import split_labels
+from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 from ledgerloom.plans import rule_jobs as J
 from ledgerloom.queries.registry import query, table
 
@@ -128,7 +129,7 @@ def nation_rows(spark: SparkSession, folder: str) -> DataFrame:
     regions = table(spark, folder, "region")
     return (
         table(spark, folder, "nation")
-        .join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(broadcast_if_small(regions), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("n_name").alias("N_NAME"), F.col("r_name").alias("N_REGION"))
     )
 
@@ -183,7 +184,7 @@ def role_columns(spark: SparkSession, folder: str) -> DataFrame:
     def used(is_source: bool, rule_id: str) -> DataFrame:
         columns = R.role_columns(meta, 2, is_source)
         return (
-            rules.join(F.broadcast(columns.withColumnRenamed(key, rule_id)), rule_id)
+            rules.join(broadcast_if_few(columns.withColumnRenamed(key, rule_id), R.MAX_RULE_COLUMNS), rule_id)
             .groupBy(
                 F.col("selection_set_name").alias("set_name"),
                 F.col("selection_set_srce_column_name").alias("column_name"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.schemas import align_schema, schema_gate
-from ledgerloom.session import scratch_path
 
 # More rows than this do not belong in one exported file.
 SINGLE_FILE_ROWS = 1_000_000
@@ -24,13 +24,21 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def overwrite_self(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table that the frame may read.
 
-    The new rows are first stored in the shared scratch folder, so a lost
-    executor or a failed job never leaves the plan without its input.
+    The new rows are written beside it and the directories are swapped, so the
+    plan keeps its input until the new table is complete.
     """
-    spark = df.sparkSession
-    staged = scratch_path(spark, "staged")
-    df.write.parquet(staged)
-    overwrite(spark.read.parquet(staged), path, partition_by)
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, former = f"{path}__new_{mark}", f"{path}__old_{mark}"
+    overwrite(df, fresh, partition_by)
+    context = df.sparkSession.sparkContext
+    as_path = context._jvm.org.apache.hadoop.fs.Path
+    system = as_path(path).getFileSystem(context._jsc.hadoopConfiguration())
+    for source, target in ((path, former), (fresh, path)):
+        if system.exists(as_path(source)) and not system.rename(as_path(source), as_path(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+    system.delete(as_path(former), True)
+    df.sparkSession.catalog.refreshByPath(path)
 
 
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

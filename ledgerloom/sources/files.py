@@ -12,8 +12,11 @@ from ledgerloom.functions.headers import canonical_names, quoted
 from ledgerloom.functions.schemas import SchemaMismatch
 from ledgerloom.operators.combine import union_evolving
 from ledgerloom.operators.profile import file_listing
+from ledgerloom.operators.sizing import broadcast_if_few
 
 CORRUPT = "_corrupt_record"
+# Partition directories whose newest runs are sent to every executor.
+MAX_BROADCAST_PARTITIONS = 1_000_000
 # Below this size a file is parsed as one piece without looking at its quotes.
 SPLIT_WORTHWHILE_BYTES = 256 * 1024 * 1024
 # A quoted field that starts and ends on its line.
@@ -136,8 +139,7 @@ def latest_runs(spark: SparkSession, path: str, run_key: str = "process_run_key"
     keep = keep.select(*[F.col(c).alias(n) for c, n in names.items()], "__newest")
     for c, n in names.items():
         condition = condition & data[c].eqNullSafe(F.col(n))
-    # One row per partition directory: the file index on the driver is larger.
-    return data.join(F.broadcast(keep), condition, "left_semi")
+    return data.join(broadcast_if_few(keep, MAX_BROADCAST_PARTITIONS), condition, "left_semi")
 
 
 # --- landing folders ----------------------------------------------------------

@@ -113,7 +113,7 @@ def test_landing_preference(spark, folder):
 def test_grid_ignores_other_files(spark, folder):
     write(f"{folder}/2019/crime-bordereaux-2019.csv", "Policy #\n1\n")
     write(f"{folder}/2019/crime-bordereaux-deduped-2019.csv", "Policy #,Extra\n2,x\n")
-    write(f"{folder}/2020/crime-bordereaux-siriuspoint-2020.csv", "Policy #\n3\n")
+    write(f"{folder}/2020/crime-bordereaux-special-2020.csv", "Policy #\n3\n")
     write(f"{folder}/2019/unknown-bordereaux-2019.csv", "Policy #\n4\n")
     write(f"{folder}/2018/crime-bordereaux-2018.csv", "Policy #\n5\n")
     got = S.grid_load(spark, folder, ["crime"], [2019, 2020])
