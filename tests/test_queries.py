@@ -19,7 +19,8 @@ def con(data):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, data, con, name):
     df = QUERIES[name](spark, data)
-    assert check(df, con, ORACLES[name]) is None
+    # The smallest tables end before the deep page.
+    assert check(df, con, ORACLES[name], may_be_empty=name == "paginate_deep") is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan)
 
