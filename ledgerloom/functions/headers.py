@@ -89,19 +89,20 @@ def canonical_name(header: str, aliases: dict[str, str] = HEADER_ALIASES) -> str
     return _rewrite(_rewrite(header.strip(), _BEFORE_LOWER).strip().lower(), _AFTER_LOWER)
 
 
-def canonical_names(headers: Iterable[str], aliases: dict[str, str] = HEADER_ALIASES) -> list[str]:
+def canonical_names(headers: Iterable[str | None], aliases: dict[str, str] = HEADER_ALIASES) -> list[str]:
     """One unique name per header, position for position.
 
-    A clash gets trailing underscores until it is unique.  A header with no
-    usable text becomes ``col_<position>`` so that names never shift.
+    A clash (also one in letter case only) gets trailing underscores until it is
+    unique.  A header with no usable text becomes ``col_<position>`` so that
+    names never shift.
     """
     taken: set[str] = set()
     names = []
     for position, header in enumerate(headers):
-        name = canonical_name(header, aliases) or f"col_{position}"
-        while name in taken:
+        name = canonical_name(header or "", aliases) or f"col_{position}"
+        while name.lower() in taken:
             name += "_"
-        taken.add(name)
+        taken.add(name.lower())
         names.append(name)
     return names
 

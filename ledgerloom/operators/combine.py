@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
@@ -15,6 +15,21 @@ from ledgerloom.operators.sizing import broadcast_if_small
 COPIES_PER_PIECE = 10_000
 
 
+def grouped_rows(df: DataFrame, columns: Mapping[str, str], *aggregates: Column) -> DataFrame:
+    """Groups of equal rows under new names (NULL equals NULL), with aggregates.
+
+    The grouping key is one struct, so neither input nor output counts as
+    partitioned by the columns themselves: copies collapse before the shuffle
+    even when the input comes out of a join on these columns, and a join that
+    follows gets an exchange of its own, which the adaptive engine can split
+    when the other side has a hot key.
+    """
+    row = F.struct(*[F.col(quoted(c)).alias(name) for c, name in columns.items()]).alias("__row")
+    keyed = df.select(row, *[F.col(quoted(c)) for c in df.columns]) if aggregates else df.select(row)
+    groups = keyed.groupBy("__row").agg(*aggregates) if aggregates else keyed.distinct()
+    return groups.select("__row.*", *[c for c in groups.columns if c != "__row"])
+
+
 def union_evolving(frames: Iterable[DataFrame]) -> DataFrame:
     """All rows of frames whose columns differ; a column a frame lacks is NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), list(frames))
@@ -64,19 +79,15 @@ def except_rows(df: DataFrame, removed: DataFrame) -> DataFrame:
     """
     names = list(df.columns)
     aliases = [f"__r{i}" for i in range(len(names))]
-    gone = removed.toDF(*aliases).groupBy(*aliases).agg(F.count(F.lit(1)).alias("__gone"))
+    gone = grouped_rows(removed, dict(zip(removed.columns, aliases)), F.count(F.lit(1)).alias("__gone"))
     side = broadcast_if_small(gone)
     equal = F.lit(True)
     for c, a in zip(names, aliases):
         equal = equal & df[quoted(c)].eqNullSafe(F.col(a))
     untouched = df.join(side, equal, "left_anti")
-    left_over = (
-        df.join(side, equal, "inner")
-        .groupBy(*[df[quoted(c)] for c in names], F.col("__gone"))
-        .agg(F.count(F.lit(1)).alias("__have"))
-        .withColumn("__left", F.col("__have") - F.col("__gone"))
-        .drop("__gone", "__have")
-    )
+    touched = df.join(side, equal, "inner").select(*[df[quoted(c)] for c in names], "__gone")
+    counted = grouped_rows(touched, {c: c for c in touched.columns}, F.count(F.lit(1)).alias("__have"))
+    left_over = counted.withColumn("__left", F.col("__have") - F.col("__gone")).drop("__gone", "__have")
     return untouched.unionByName(repeat_rows(left_over, "__left"))
 
 

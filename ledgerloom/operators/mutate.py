@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
+from ledgerloom.operators.combine import grouped_rows
 from ledgerloom.operators.sizing import broadcast_if_small
 
 
@@ -39,8 +40,11 @@ def upsert(
     """
     names = {k: f"__k{i}" for i, k in enumerate(keys)}
     scope = F.lit(True) if in_scope is None else F.coalesce(in_scope, F.lit(False))
-    per_key = changes.groupBy(*[F.col(quoted(k)).alias(n) for k, n in names.items()]).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[F.col(quoted(c)) for c in changes.columns])).alias("change")
+    per_key = grouped_rows(
+        changes,
+        names,
+        F.count(F.lit(1)).alias("__n"),
+        F.first(F.struct(*[F.col(quoted(c)) for c in changes.columns])).alias("change"),
     )
     side = broadcast_if_small(per_key)
     hit = F.when(F.col("__n") == 1, F.lit(True)).when(
@@ -56,12 +60,10 @@ def upsert(
             for c in table.columns
         ]
     )
-    matched = (
-        scoped.where("__scope")
-        .join(broadcast_if_small(per_key.select(*names.values())), _match(scoped, names), "left_semi")
-        .select(*[F.col(quoted(k)).alias(n) for k, n in names.items()])
-        .distinct()
+    hits = scoped.where("__scope").join(
+        broadcast_if_small(per_key.select(*names.values())), _match(scoped, names), "left_semi"
     )
+    matched = grouped_rows(hits, names)
     fresh = changes.join(broadcast_if_small(matched), _match(changes, names), "left_anti")
     inserted = fresh.select(
         *[

@@ -69,11 +69,18 @@ def file_listing(spark: SparkSession, path: str, pattern: str = "*", recursive:
     return reader.load(path).drop("content")
 
 
-def table_sizes(files: DataFrame, table_name: str = r"([^/]+?)(?:\.[A-Za-z]+)?(?:/part-[^/]*)?$") -> DataFrame:
-    """Bytes and files per table, largest first, from a file listing."""
+# A file, or a directory of part files that may lie in partition directories.
+TABLE_OF_PATH = r"^(.*?/([^/=]+?)(?:\.[A-Za-z]+)?)(?:/[^/=]+=[^/]*)*(?:/part-[^/]*)?$"
+
+
+def table_sizes(files: DataFrame) -> DataFrame:
+    """Bytes, files and location per table, largest first, from a file listing."""
     mb = 1024.0 * 1024.0
     return (
-        files.groupBy(F.regexp_extract("path", table_name, 1).alias("table_name"))
+        files.groupBy(
+            F.regexp_extract("path", TABLE_OF_PATH, 2).alias("table_name"),
+            F.regexp_extract("path", TABLE_OF_PATH, 1).alias("location"),
+        )
         .agg(F.sum("length").alias("size_in_bytes"), F.count(F.lit(1)).alias("num_files"))
         .select(
             "table_name",
@@ -81,6 +88,7 @@ def table_sizes(files: DataFrame, table_name: str = r"([^/]+?)(?:\.[A-Za-z]+)?(?
             F.round(F.col("size_in_bytes") / mb, 2).alias("size_in_mb"),
             F.round(F.col("size_in_bytes") / (mb * 1024.0), 2).alias("size_in_gb"),
             "num_files",
+            "location",
         )
         .orderBy(F.col("size_in_bytes").desc(), "table_name")
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.values import blank_for_null
+from ledgerloom.operators.combine import grouped_rows
 from ledgerloom.operators.numbering import number_rows
 from ledgerloom.operators.project import any_present
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
@@ -260,7 +261,7 @@ def rules_full_outer(data: DataFrame, rules: DataFrame, keys: Sequence[str]) ->
     left, right = blank_for_null(data), blank_for_null(rules)
     keys = list(keys)
     mapped = left.join(broadcast_if_small(right), keys, "left")
-    orphans = right.join(left.select(*[quoted(k) for k in keys]).distinct(), keys, "left_anti")
+    orphans = right.join(grouped_rows(left, {k: k for k in keys}), keys, "left_anti")
     return mapped.unionByName(orphans, allowMissingColumns=True)
 
 
@@ -280,7 +281,7 @@ def missing_rules(rules: DataFrame, data: DataFrame, keys: Sequence[str]) -> Dat
     The data side is reduced to distinct keys before it is shuffled.
     """
     keys = list(keys)
-    present = blank_for_null(data.select(*[quoted(k) for k in keys])).distinct()
+    present = grouped_rows(blank_for_null(data), {k: k for k in keys})
     return blank_for_null(rules).join(present, keys, "left_anti")
 
 
@@ -294,11 +295,7 @@ def missing_target_rules(rules: DataFrame, target: object, target_data: DataFram
 def with_presence(rules: DataFrame, data: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """All rules with a flag: their key values occur in the data; NULL equals NULL."""
     names = {k: f"__key{i}" for i, k in enumerate(keys)}
-    present = (
-        blank_for_null(data.select(*[F.col(quoted(k)).alias(n) for k, n in names.items()]))
-        .distinct()
-        .withColumn("__present", F.lit(True))
-    )
+    present = grouped_rows(blank_for_null(data), names).withColumn("__present", F.lit(True))
     condition = F.lit(True)
     for k, n in names.items():
         condition = condition & (F.coalesce(rules[quoted(k)], F.lit("")) == F.col(n))

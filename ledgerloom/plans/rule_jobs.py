@@ -36,8 +36,12 @@ def rule_view(
     targets: Mapping[str, DataFrame],
     conditions: str | None = None,
 ) -> DataFrame:
-    """Distinct source rows with their rules, filtered, with target attributes for key targets."""
-    joined = filter_where(R.rules_full_outer(source, rules, keys), conditions).distinct()
+    """Distinct source rows with their rules, filtered, with target attributes for key targets.
+
+    Both sides are made distinct before the join, where copies cost least; the
+    joined rows are then distinct too, because they hold both sides whole.
+    """
+    joined = filter_where(R.rules_full_outer(source.distinct(), rules.distinct(), keys), conditions)
     return _with_targets(joined, mapping_type, targets)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.schemas import schema_from_metadata
+from ledgerloom.functions.values import date_in_name
 from ledgerloom.queries.registry import day, query, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sink
@@ -183,7 +184,8 @@ def scan_xml_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "landing_files",
-    "SELECT 'I2I_Programs_CLAIM_NIP_20241231.CSV' AS name, CAST(o_orderkey AS VARCHAR) AS claim_number FROM orders WHERE o_orderstatus = 'F'",
+    """SELECT 'I2I_Programs_CLAIM_NIP_20241231.CSV' AS name, '2024-12-31' AS as_of, CAST(o_orderkey AS VARCHAR) AS claim_number
+FROM orders WHERE o_orderstatus = 'F'""",
 )
 def landing_files(spark: SparkSession, folder: str) -> DataFrame:
     """No default file for the month: the program file wins over the other book."""
@@ -198,7 +200,10 @@ def landing_files(spark: SparkSession, folder: str) -> DataFrame:
         name = source.landing_file_name(subject, suffix, book)
         sink.export_csv(claims.where(F.col("o_orderstatus") == status).select("claim_number"), f"{drop}/{name}")
     path = source.landing_file(spark, drop, "claims", "20241231")
-    return source.csv_robust(spark, path).select(F.lit(path.rsplit("/", 1)[-1]).alias("name"), "claim_number")
+    name = F.lit(path.rsplit("/", 1)[-1])
+    return source.csv_robust(spark, path).select(
+        name.alias("name"), day(date_in_name(name)).alias("as_of"), "claim_number"
+    )
 
 
 GRID_LINES = {"O": "agricultural", "F": "crime"}
@@ -341,3 +346,14 @@ def export_csv(spark: SparkSession, folder: str) -> DataFrame:
     padded = F.concat(F.lit("  "), F.col("lang"), F.lit(' "x", '))
     sink.export_csv(table(spark, folder, "documents").select("doc_id", padded.alias("lang")), path, single_file=True)
     return source.csv_robust(spark, path)
+
+
+@query(
+    "export_tables",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_cnt FROM {t}" for t in ("orders", "customer", "documents", "nation")
+    ),
+)
+def export_tables(spark: SparkSession, folder: str) -> DataFrame:
+    tables = {t: table(spark, folder, t) for t in ("orders", "customer", "documents", "nation")}
+    return sink.export_tables(spark, tables, scratch_path(spark, "exports"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.schemas import align_schema, schema_gate
@@ -98,3 +100,14 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+
+
+def export_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
+    """Every table as CSV below a folder; returns the number of rows written per table."""
+    parts = []
+    for name, df in tables.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        export_csv(df, path)
+        written = spark.read.schema(df.schema).csv(path, header=True, escape='"', multiLine=True)
+        parts.append(written.agg(F.count(F.lit(1)).alias("row_cnt")).select(F.lit(name).alias("table_name"), "row_cnt"))
+    return reduce(DataFrame.unionByName, parts)

@@ -75,6 +75,12 @@ def csv_robust(
     return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
+def csv_header(spark: SparkSession, path: str) -> tuple[str | None, ...]:
+    """The header cells as they stand in the file, repeated ones included."""
+    row = spark.read.csv(path, header=False, multiLine=True, quote='"', escape='"').head()
+    return tuple(row) if row is not None else ()
+
+
 def csv_typed(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, blanks_are_null: bool = True
 ) -> DataFrame:
@@ -247,16 +253,15 @@ def _scan_by_header(spark: SparkSession, files: Sequence[tuple[str, int, str]],
     Files of a line usually share their header for years, so the plan grows
     with the number of different headers and not with the number of files.
     """
-    groups: dict[tuple[str, tuple[str, ...]], list[tuple[str, int]]] = {}
+    groups: dict[tuple[str, tuple[str | None, ...]], list[tuple[str, int]]] = {}
     for path, size, line in files:
-        header = tuple(csv_robust(spark, path, True).columns)
-        groups.setdefault((line, header), []).append((path, size))
+        groups.setdefault((line, csv_header(spark, path)), []).append((path, size))
     scans = []
     for (line, header), members in groups.items():
-        paths = [p for p, _ in members]
-        raw = csv_robust(spark, paths, multi_line, size=sum(n for _, n in members), columns=header)
+        paths, places = [p for p, _ in members], [f"_c{i}" for i in range(len(header))]
+        raw = csv_robust(spark, paths, multi_line, size=sum(n for _, n in members), columns=places)
         named = raw.select(
-            *[F.col(quoted(c)).alias(n) for c, n in zip(header, canonical_names(header))],
+            *[F.col(c).alias(n) for c, n in zip(places, canonical_names(header))],
             F.lit(line).alias("line"),
             F.col("_metadata.file_path").alias("__path"),
         )

@@ -26,7 +26,7 @@ class SplitBy:
 def scan_options(db: Database, table_or_query: str, split: SplitBy | None = None) -> dict[str, str]:
     """Reader options; a query is passed as a derived table, so filters are still pushed into it."""
     text = table_or_query.strip().rstrip(";")
-    is_query = text.lower().startswith(("select ", "select\n", "with "))
+    is_query = text.lower().startswith(("select ", "select\n"))
     options = {**db.properties, "url": db.url, "dbtable": f"({text}) q" if is_query else text}
     if split is not None:
         options.update(

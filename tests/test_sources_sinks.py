@@ -122,6 +122,13 @@ def test_grid_ignores_other_files(spark, folder):
         S.grid_load(spark, folder, ["crime"], [2011])
 
 
+def test_repeated_and_missing_headers_keep_their_place(spark, folder):
+    write(f"{folder}/crime-bordereaux-2019.csv", 'Policy,Policy Number,,"Policy",state,State\n1,2,3,4,5,6\n')
+    got = S.grid_load(spark, folder, ["crime"], [2019])
+    assert got.columns == ["policy_number", "policy_number_", "col_2", "policy_number__", "state", "state_", "line", "year"]
+    assert tuple(got.first())[:6] == ("1", "2", "3", "4", "5", "6")
+
+
 def test_sheets_can_keep_a_skipped_workbook(spark, folder):
     for book, sheet in (("EPLI 2020", "EPLI"), ("~$b", "Crime"), ("b", "Equipment Breakdown"), ("b", "Notes"), ("b", "EXCESS")):
         write(f"{folder}/{book}/{sheet}.csv", f"Policy #\n{book}{sheet}\n")
@@ -173,8 +180,9 @@ def test_single_file_export_only_for_small_results(spark, folder, monkeypatch):
 
 def test_table_sizes_of_directories(spark, folder):
     spark.range(100).repartition(3).write.parquet(f"{folder}/t1")
-    got = table_sizes(file_listing(spark, folder, "*.parquet")).first()
-    assert (got["table_name"], got["num_files"]) == ("t1", 3)
+    spark.range(4).withColumn("p", F.col("id") % 2).coalesce(1).write.partitionBy("p").parquet(f"{folder}/t2")
+    got = {r["table_name"]: (r["num_files"], r["location"]) for r in table_sizes(file_listing(spark, folder, "*.parquet")).collect()}
+    assert got == {"t1": (3, f"file:{folder}/t1"), "t2": (2, f"file:{folder}/t2")}
 
 
 def test_jdbc_options():
