@@ -220,8 +220,10 @@ def unpivot_rules(
 
 
 def _label(variable: str, names: Sequence[str], labels: Sequence[object]) -> Column:
-    pairs = [F.lit(x) for pair in zip(names, labels) for x in pair]
-    return F.element_at(F.create_map(*pairs), F.col(variable))
+    out = F.when(F.lit(False), F.lit(labels[0]))
+    for n, label in zip(names, labels):
+        out = out.when(F.col(variable) == n, F.lit(label))
+    return out if isinstance(labels[0], str) else out.cast("bigint")
 
 
 def pivot_rules(

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
-from ledgerloom.functions.values import parsed_number
 from ledgerloom.operators.lookup import period_of, restrict_to_keys
 from ledgerloom.operators.project import within
 
@@ -43,13 +42,10 @@ class Line:
     premium: Sequence[str]
 
     def gross_premium(self) -> Column:
-        parts = [F.coalesce(parsed_number(F.col(quoted(c)).cast("string")), F.lit(0.0)) for c in self.premium]
-        numeric = dict(self.data.dtypes)
-        parts = [
-            F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)) if numeric[c] != "string" else p
-            for c, p in zip(self.premium, parts)
-        ]
-        return reduce(lambda a, b: a + b, parts)
+        """Sum of the premium columns; NULL and unreadable text count as 0."""
+        types = dict(self.data.dtypes)
+        parts = [f"trim({quoted(c)})" if types[c] == "string" else quoted(c) for c in self.premium]
+        return F.expr(" + ".join(f"coalesce(try_cast({p} AS DOUBLE), 0D)" for p in parts))
 
 
 def lines_of(tables: Mapping[str, DataFrame], premium: Mapping[str, Sequence[str]] = PREMIUM_COLUMNS) -> list[Line]:
@@ -58,10 +54,12 @@ def lines_of(tables: Mapping[str, DataFrame], premium: Mapping[str, Sequence[str
 
 def transactions(lines: Sequence[Line], start: str, end: str, closed: bool = True) -> DataFrame:
     """Transactions of all lines in one shape, committed in the period."""
+    last = "<=" if closed else "<"
+    committed = f"policy_number IS NOT NULL AND commit_date >= DATE'{start}' AND commit_date {last} DATE'{end}'"
     parts = [
-        line.data.where(F.col("policy_number").isNotNull())
-        .where(within(F.col("commit_date"), F.to_date(F.lit(start)), F.to_date(F.lit(end)), closed))
-        .select(F.lit(line.name).alias("source_table"), *KEYS, line.gross_premium().alias("gross_premium"))
+        line.data.where(committed).select(
+            F.lit(line.name).alias("source_table"), *KEYS, line.gross_premium().alias("gross_premium")
+        )
         for line in lines
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -113,8 +113,11 @@ class Validation:
 
     rules: DataFrame
     findings: DataFrame
+    problems: Sequence[str] = ()
 
     def status(self) -> JobResult:
+        if self.problems:
+            return JobResult("INVALID", self.problems[0])
         first = self.findings.where(F.col("missing_rules") > 0).orderBy("position").first()
         return JobResult("VALID") if first is None else JobResult("INVALID", f"Missing rows in {first['scope']}")
 
@@ -129,17 +132,19 @@ def validate_rules(
     """Check the rules of a set against source and targets and set their flags.
 
     All targets are checked, and flags go back to 0 where nothing is missing.
-    Column sets that do not fit are an error.
+    Where the columns themselves do not fit, every rule counts as missing on
+    that side and the values are not looked at.
     """
     source_role, target_role = R.mapping_roles(mapping_type)
     wide = R.pivot_rules(long, columns.source, columns.target)
     names = R.columns_by_target(wide.columns)
-    problems = [("Source", column_mismatch(source.columns, names["src"], source_role))]
+    checks = {("source", R.MISSING_SOURCE): column_mismatch(source.columns, names["src"], source_role)}
     for i, (target, data) in enumerate(targets.items(), 1):
-        problems.append((f"Target {i}", column_mismatch(data.columns, names.get(target, []), target_role)))
-    for where, text in problems:
-        if text:
-            raise SchemaMismatch(f"{where} {text}")
+        mismatch = column_mismatch(data.columns, names.get(str(target), []), target_role)
+        checks[(f"target {i}", R.MISSING_TARGET)] = mismatch
+    unfit = {place: text for place, text in checks.items() if text}
+    if unfit:
+        return _unfit(long, unfit)
 
     # One pass: the pivoted rules meet source and targets in turn, each reduced to distinct keys.
     found = R.with_presence(wide, source, names["src"], "__in_source")
@@ -173,6 +178,14 @@ def validate_rules(
     return Validation(flagged.select(*long.columns), findings)
 
 
+def _unfit(long: DataFrame, unfit: Mapping[tuple[str, str], str]) -> Validation:
+    flagged = long.withColumns({flag: F.lit(1) for _, flag in unfit})
+    rules = long.agg(F.count_distinct(R.GROUP).alias("missing_rules"))
+    scopes = [F.struct(F.lit(i).alias("position"), F.lit(scope).alias("scope")) for i, (scope, _) in enumerate(unfit)]
+    findings = rules.select(F.explode(F.array(*scopes)).alias("at"), "missing_rules").select("at.*", "missing_rules")
+    return Validation(flagged.select(*long.columns), findings, [f"{s.capitalize()} {text}" for (s, _), text in unfit.items()])
+
+
 # --- new rule rows ----------------------------------------------------------------
 
 

@@ -99,11 +99,27 @@ def test_validation_clears_flags_when_all_is_there(spark):
     assert tuple(result.status().as_row(spark).first()) == ("VALID", "", None)
 
 
-def test_validation_rejects_other_columns(spark):
-    rules = flagged_long(wide(spark, [(1, "a", "", "x", "y")]))
+def test_validation_of_other_columns_flags_every_rule(spark):
+    rules = flagged_long(wide(spark, [(1, "a", "", "x", "y"), (2, "b", "", "x", "y")])).withColumn(R.MISSING_SOURCE, F.lit(0))
     source = spark.createDataFrame([("a",)], "A string")
-    with pytest.raises(SchemaMismatch, match="Source columns don't match"):
-        J.validate_rules(rules, COLUMNS, source, {}, "Attribute to Attribute")
+    targets = {"7": spark.createDataFrame([("x",)], "X string"), "8": spark.createDataFrame([("y",)], "`Y Z` string")}
+    result = J.validate_rules(rules, COLUMNS, source, targets, "Attribute to Attribute")
+    assert result.status().status == "INVALID" and result.status().status_desc.startswith("Source columns don't match")
+    assert [tuple(r) for r in result.findings.collect()] == [(0, "source", 2)]
+    assert {(r[R.MISSING_SOURCE], r[R.MISSING_TARGET]) for r in result.rules.collect()} == {(1, 1)}
+    # A key rule needs only its own columns in the data.
+    wider = spark.createDataFrame([("a", "", "more"), ("b", "", "more")], "A string, B string, C string")
+    assert J.validate_rules(rules, COLUMNS, wider, targets, "Key to Attribute").status().status == "VALID"
+    lost = {**targets, "8": spark.createDataFrame([("y",)], "OTHER string")}
+    unfit = J.validate_rules(rules, COLUMNS, wider, lost, "Key to Attribute")
+    assert unfit.status().status_desc.startswith("Target 2 columns don't match")
+    assert {(r[R.MISSING_SOURCE], r[R.MISSING_TARGET]) for r in unfit.rules.collect()} == {(0, 1)}
+
+
+def test_labels_may_hold_any_character(spark):
+    df = wide(spark, [(1, "a", "b", "x", None)])
+    long = R.unpivot_rules(df, {"A": "it's/A\\n", "B": 'say "B"'}, {"trg#7_X": "T/X"})
+    assert {r[R.SOURCE_ID] for r in long.collect()} == {"it's/A\\n", 'say "B"'}
 
 
 # --- expression -------------------------------------------------------------------
