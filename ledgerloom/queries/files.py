@@ -140,7 +140,6 @@ def write_runs(spark: SparkSession, folder: str) -> str:
         table(spark, folder, "orders")
         .where(~((F.col("o_orderpriority") == "5-LOW") & (year > 1999)))
         .select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("priority"), (year - 1990).alias("process_run_key"))
-        .repartition("priority", "process_run_key")
         .write.partitionBy("priority", "process_run_key")
         .parquet(path)
     )
