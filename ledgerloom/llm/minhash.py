@@ -14,18 +14,20 @@ work is linear in the shingles.
 Equal texts are one from the start.  Texts that share a band are linked if the
 exact weighted Jaccard similarity of their shingles reaches the threshold.  To
 keep a band of thousands of texts linear, each is compared with the band's first
-text; only where a band still holds several classes, pairs across the classes
-are compared too, so no link that would join two classes is lost.
+text, the one that shares bands with most others, then those of other classes
+with the next few; only where a band still holds several classes, all pairs
+across them are compared too, so no link that would join two classes is lost.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import at_hand, checkpointed, slices, stored, texts_of, words
@@ -33,6 +35,10 @@ from ledgerloom.llm.common import at_hand, checkpointed, slices, stored, texts_o
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 21, 6
+#: Texts of a band, those that meet most others, with which all others are compared first.
+FIRSTS = 4
+#: Bits of an entry that are kept to tell how many entries two texts share.
+PLANES = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,10 +147,39 @@ def darts(
     return signature
 
 
-def band_keys(texts: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def planes(signature: np.ndarray) -> np.ndarray:
+    """The low ``PLANES`` bits of the entries, bit by bit, 64 entries to a number (texts x numbers)."""
+    n, k = signature.shape
+    wide = np.zeros((n, -(-k // 64) * 64), np.uint64)
+    wide[:, :k] = signature
+    power = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    out = [
+        (((wide[:, at : at + 64] >> np.uint64(b)) & np.uint64(1)) * power).sum(1, dtype=np.uint64)
+        for at in range(0, wide.shape[1], 64)
+        for b in range(PLANES)
+    ]
+    return np.stack(out, 1)
+
+
+def entries_unlike(a: str, b: str, coordinates: int = BANDS * ROWS) -> Column:
+    """Entries in which two texts' planes differ."""
+    found = F.lit(0)
+    for half in range(-(-coordinates // 64)):
+        differs = F.lit(0).cast("long")
+        for i in range(half * PLANES, (half + 1) * PLANES):
+            differs = differs.bitwiseOR(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i))))
+        found = found + F.bit_count(differs)
+    return found
+
+
+def most_unlike(threshold: float, coordinates: int = BANDS * ROWS) -> int:
+    """Entries that differ in two texts of that similarity, with four standard deviations more: 1 pair in 30 000 has more."""
+    return math.ceil(coordinates * (1 - threshold) + 4 * math.sqrt(coordinates * threshold * (1 - threshold)))
+
+
+def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Hashes of the bands of the texts' signatures (texts x bands)."""
-    doc, element, count = shingles(texts)
-    signature = darts(doc, element, count, len(texts), bands * rows)
+    texts = signature
     out = np.zeros((len(texts), bands), np.uint64)
     for r in range(rows):
         out = mix(out * _ODD + signature.reshape(len(texts), bands, rows)[:, :, r])
@@ -156,9 +191,14 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batch, size=4 << 20):
             texts = texts_of(piece)
             full = np.array([bool(words(t)) for t in texts])
-            keys = band_keys(texts).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * keys.shape[1], pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([piece.column(0), lists], names=["key", "bands"]).filter(pa.array(full))
+            signature = darts(*shingles(texts), len(texts), BANDS * ROWS)
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(texts) + 1) * x.shape[1], pa.int32()), pa.array(x.view(np.int64).ravel())
+                )
+                for x in (band_keys(signature), planes(signature))
+            ]
+            yield pa.RecordBatch.from_arrays([piece.column(0), *lists], names=["key", "bands", "planes"]).filter(pa.array(full))
 
 
 def similarity(a: bytes, b: bytes) -> float:
@@ -245,36 +285,61 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
     )
     sized = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    bands = sized.select("key", "text").mapInArrow(_banded, "key binary, bands array<long>")
+    bands = sized.select("key", "text").mapInArrow(_banded, "key binary, bands array<long>, planes array<long>")
     # One row per text; equal texts have equal bands.
-    bands = stored(bands.groupBy("key").agg(F.first("bands").alias("bands")), "bands")
+    bands = stored(bands.groupBy("key").agg(F.first("bands").alias("bands"), F.first("planes").alias("planes")), "bands")
     entries = bands.select("key", F.explode("bands").alias("band"))
-    firsts = entries.groupBy("band").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    crowded = checkpointed(entries.join(firsts, "band"))
+    full = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = checkpointed(entries.join(full, "band"))
+    # The text that meets most others is the likeliest to be like all of them.
+    central = crowded.groupBy("key").agg(F.sum("n").alias("met"))
+    crowded = checkpointed(crowded.join(central, "key").select("band", "key", "met"))
+    order = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("met"), "key"))
+    firsts = crowded.withColumn("r", order).where(F.col("r") <= FIRSTS).select("band", F.col("key").alias("a"), "r")
+    firsts = checkpointed(firsts)
     ids = sized.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = crowded.select("key").unionAll(crowded.select(F.col("a").alias("key"))).dropDuplicates()
-    chosen = wanted.join(ids, "key")
+    chosen = crowded.select("key").dropDuplicates().join(ids, "key")
     # The text of each key that shares a band, from the first row that has it.
     texts = stored(
         sized.join(chosen, ["key", "doc_id"]).groupBy("key").agg(F.first("text").alias("text")), "texts"
     )
-    star = verified(crowded.where("a != key").select("a", F.col("key").alias("b")).dropDuplicates(), texts, threshold)
-    links = checkpointed(star)
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).dropDuplicates()
+
+    star = crowded.join(firsts.where("r = 1"), "band").where("a != key")
+    links = checkpointed(verified(ordered(star), texts, threshold))
     roots = components(links)
-    # Bands that still hold several classes: pairs across them.
-    placed = crowded.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band")
-    rest = checkpointed(placed.join(mixed, "band"))
-    left, right = rest.alias("l"), rest.alias("r")
-    across = (
-        left.join(right, F.expr("l.band = r.band AND l.key < r.key AND l.root != r.root"))
-        .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
-        .dropDuplicates()
-        .join(links, ["a", "b"], "left_anti")
+
+    def mixed() -> DataFrame:
+        """Bands that hold several classes."""
+        placed = crowded.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
+        bands_ = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
+        return checkpointed(placed.join(bands_.select("band"), "band"))
+
+    # Texts of other classes than the band's next first ones, compared with those.
+    rest = mixed()
+    seconds = rest.join(firsts.where("r > 1").withColumnRenamed("a", "key"), ["band", "key"]).select(
+        "band", F.col("key").alias("a"), F.col("root").alias("own")
+    )
+    more = checkpointed(
+        verified(ordered(rest.join(seconds, "band").where("root != own")).join(links, ["a", "b"], "left_anti"), texts, threshold)
     )
-    more = checkpointed(verified(across, texts, threshold))
     if more.limit(1).count():
-        roots = components(links.unionAll(more))
+        links = links.unionAll(more)
+        roots = components(links)
+        rest = mixed()
+    # What is left: all pairs of a band across its classes.
+    # Signatures too unlike for the threshold are left out within the join.
+    rest = rest.join(bands.select("key", "planes"), "key")
+    left, right = rest.alias("l"), rest.alias("r")
+    like = entries_unlike("l.planes", "r.planes") <= most_unlike(threshold)
+    across = left.join(right, F.expr("l.band = r.band AND l.key < r.key AND l.root != r.root") & like).select(
+        F.col("l.key").alias("a"), F.col("r.key").alias("b")
+    )
+    last = checkpointed(verified(across.dropDuplicates(), texts, threshold))
+    if last.limit(1).count():
+        roots = components(links.unionAll(last))
     class_of = (
         ids.join(roots, "key", "left")
         .select("key", "doc_id", F.coalesce("root", "key").alias("root"))
