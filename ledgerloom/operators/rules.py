@@ -253,6 +253,11 @@ def mapped_only(df: DataFrame, value: str = TARGET_VALUE) -> DataFrame:
 # --- rules against data -------------------------------------------------------
 
 
+def _met(data: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Data with a key of the rules, so that what is made distinct afterwards is no larger than the rules ask for."""
+    return data.join(broadcast_if_small(rules.select(*keys).distinct()), list(keys), "left_semi")
+
+
 def rules_full_outer(data: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Data with its rules, unmapped data, and rules without data.
 
@@ -263,7 +268,7 @@ def rules_full_outer(data: DataFrame, rules: DataFrame, keys: Sequence[str]) ->
     left, right = blank_for_null(data), blank_for_null(rules)
     keys = list(keys)
     mapped = left.join(broadcast_if_small(right), keys, "left")
-    orphans = right.join(grouped_rows(left, {k: k for k in keys}), keys, "left_anti")
+    orphans = right.join(grouped_rows(_met(left, right, keys), {k: k for k in keys}), keys, "left_anti")
     return mapped.unionByName(orphans, allowMissingColumns=True)
 
 
@@ -283,8 +288,9 @@ def missing_rules(rules: DataFrame, data: DataFrame, keys: Sequence[str]) -> Dat
     The data side is reduced to distinct keys before it is shuffled.
     """
     keys = list(keys)
-    present = grouped_rows(blank_for_null(data), {k: k for k in keys})
-    return blank_for_null(rules).join(present, keys, "left_anti")
+    filled = blank_for_null(rules)
+    present = grouped_rows(_met(blank_for_null(data), filled, keys), {k: k for k in keys})
+    return filled.join(present, keys, "left_anti")
 
 
 def missing_target_rules(rules: DataFrame, target: object, target_data: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def bordereaux_load(
     root: str,
     table: str,
     lines: Sequence[str] = LINES,
-    years: Sequence[int] = tuple(range(2019, 2025)),
+    years: Sequence[int] | None = None,
     repair: bool = True,
 ) -> DataFrame:
     """Append the cleaned grid to a table partitioned by line; returns the whole table."""

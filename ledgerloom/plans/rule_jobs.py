@@ -15,11 +15,11 @@ from ledgerloom.functions.schemas import SchemaMismatch, column_mismatch
 from ledgerloom.functions.values import OPEN_END_DATE, blank_for_null, stringified
 from ledgerloom.operators import rules as R
 from ledgerloom.operators.mutate import replace_group, upsert
-from ledgerloom.operators.numbering import first_rows, paginate
+from ledgerloom.operators.numbering import first_rows, order_columns, paginate
 from ledgerloom.operators.project import any_present, expression_column, filter_where, given
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 from ledgerloom.plans.status import JobResult
-from ledgerloom.sinks.tables import TARGET_SHEET_ROWS, export_csv, overwrite_partitions
+from ledgerloom.sinks.tables import export_csv, overwrite_partitions
 
 PREVIEW_ROWS = 5_000
 BOOKKEEPING = (R.GROUP, R.MISSING_SOURCE, R.MISSING_TARGET, "updated_by")
@@ -38,10 +38,10 @@ def rule_view(
 ) -> DataFrame:
     """Distinct source rows with their rules, filtered, with target attributes for key targets.
 
-    Both sides are made distinct before the join, where copies cost least; the
+    Blanks stand for NULL, and both sides are then made distinct before the join, where copies cost least; the
     joined rows are then distinct too, because they hold both sides whole.
     """
-    joined = filter_where(R.rules_full_outer(source.distinct(), rules.distinct(), keys), conditions)
+    joined = filter_where(R.rules_full_outer(blank_for_null(source).distinct(), blank_for_null(rules).distinct(), keys), conditions)
     return _with_targets(joined, mapping_type, targets)
 
 
@@ -91,16 +91,19 @@ def export_rules(
     joined = filter_where(R.rules_full_outer(source, rules, keys), conditions).drop(*BOOKKEEPING)
     full = _with_targets(joined, mapping_type, targets)
     if given(sort_order):
-        full = full.orderBy(*[quoted(c.strip()) for c in sort_order.split(",")])
+        full = full.orderBy(*order_columns(full, sort_order))
     return full.select(*[F.col(quoted(h.column)).alias(h.flat) for h in headers])
 
 
-def export_targets(targets: Mapping[str, DataFrame], folder: str, rows: int = TARGET_SHEET_ROWS) -> dict[str, str]:
-    """The first distinct rows of each target, one CSV directory per target."""
+def export_targets(targets: Mapping[str, DataFrame], folder: str, rows: int | None = None) -> dict[str, str]:
+    """The distinct rows of each target (the first ones, if a number is asked for), one CSV directory per target."""
     paths = {}
     for name, data in targets.items():
         paths[name] = f"{folder.rstrip('/')}/{name.replace(' ', '_')}"
-        export_csv(first_rows(data.distinct(), rows, data.columns), paths[name], single_file=True)
+        if rows is None:
+            export_csv(data.distinct(), paths[name])
+        else:
+            export_csv(first_rows(data.distinct(), rows, data.columns), paths[name], single_file=True)
     return paths
 
 

@@ -183,7 +183,7 @@ def scan_xml_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "landing_files",
-    """SELECT 'I2I_Programs_CLAIM_NIP_20241231.CSV' AS name, '2024-12-31' AS as_of, CAST(o_orderkey AS VARCHAR) AS claim_number
+    """SELECT 'FEED_Programs_CLAIM_LAND_20241231.CSV' AS name, '2024-12-31' AS as_of, CAST(o_orderkey AS VARCHAR) AS claim_number
 FROM orders WHERE o_orderstatus = 'F'""",
 )
 def landing_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,7 +192,7 @@ def landing_files(spark: SparkSession, folder: str) -> DataFrame:
     claims = table(spark, folder, "orders").select(F.col("o_orderkey").alias("claim_number"), "o_orderstatus")
     for subject, suffix, book, status in (
         ("claims", "20241130", "", "O"),
-        ("claims", "20241231", "JIF_", "P"),
+        ("claims", "20241231", "Partner_", "P"),
         ("claims", "20241231", "Programs_", "F"),
         ("policy", "20241231", "", "O"),
     ):

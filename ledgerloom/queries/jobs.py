@@ -172,8 +172,7 @@ def export_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "export_targets",
-    """SELECT * FROM (SELECT DISTINCT 'PARTS' AS target, p_name || '|' || p_brand || '|' || p_size AS row_text FROM part
-  ORDER BY row_text LIMIT 10000)
+    """SELECT * FROM (SELECT DISTINCT 'PARTS' AS target, p_name || '|' || p_brand || '|' || p_size AS row_text FROM part)
 UNION ALL SELECT DISTINCT 'NATION NAMES', n_name FROM nation""",
 )
 def export_targets(spark: SparkSession, folder: str) -> DataFrame:
@@ -458,7 +457,7 @@ def ingest_premium(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").alias("premium_written_final"),
     )
     columns = {c: "nvarchar" for c in raw.columns} | {"premium_written_final": "float"}
-    return run_ingest(spark, "premium", raw, columns, references(spark, folder, priority_lines(spark, folder)), "JIF_")
+    return run_ingest(spark, "premium", raw, columns, references(spark, folder, priority_lines(spark, folder)), "Partner_")
 
 
 @query(

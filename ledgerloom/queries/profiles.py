@@ -10,12 +10,10 @@ from ledgerloom.operators.numbering import first_rows, number_rows, paginate
 from ledgerloom.operators.profile import (
     distinct_row_count,
     distinct_years,
-    file_listing,
     key_check,
     repeated_keys,
     rowcount_status,
     table_profile,
-    table_sizes,
 )
 from ledgerloom.plans.selection import coverage, exposed_rowcount, target_values
 from ledgerloom.queries.registry import day, query, table
@@ -112,11 +110,6 @@ def rowcount_status_query(spark: SparkSession, folder: str) -> DataFrame:
     return filled.unionByName(rowcount_status(orders.where("o_orderstatus = 'none'")))
 
 
-@query("table_sizes")
-def table_sizes_query(spark: SparkSession, folder: str) -> DataFrame:
-    return table_sizes(file_listing(spark, folder, "*.parquet"))
-
-
 @query(
     "dedup_rows",
     "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag, CAST(year(l_shipdate) AS BIGINT) AS y FROM lineitem",

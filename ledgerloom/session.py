@@ -7,7 +7,6 @@ and works with whatever session they belong to.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,15 +42,15 @@ def local_session(app: str, cores: str | int = "*", memory: str = "8g") -> Spark
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``.  A local session
+    without that setting uses a folder in its warehouse.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

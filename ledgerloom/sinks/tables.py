@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.schemas import align_schema, schema_gate
 
-# More rows than this do not belong in one exported file.
-SINGLE_FILE_ROWS = 1_000_000
-TARGET_SHEET_ROWS = 10_000
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -87,10 +84,9 @@ def load_reference(spark: SparkSession, csv_path: str, schema: str, path: str) -
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header.
 
-    One file is written only for a result that fits a sheet; anything larger
-    is written by all tasks, one file each.
+    One file per task, or, if asked for, a single one that one task writes.
     """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
+    if single_file:
         df = df.coalesce(1)
     (
         df.write.mode("overwrite")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,9 +138,11 @@ def latest_runs(spark: SparkSession, path: str, run_key: str = "process_run_key"
     others = [c for c in partitions if c != run_key]
     number = F.col(run_key).cast("bigint")
     runs = listing.select(*partitions).distinct()
-    newest = runs.groupBy(*others).agg(F.max(number).alias("__newest"))
-    keep = newest.where(F.col("__newest") >= 0)
-    condition = data[run_key].cast("bigint") == F.col("__newest")
+    # A missing run key is older than any other; a partition that has no other keeps it.
+    missing = F.lit(-(2**63))
+    rank = F.row_number().over(Window.partitionBy(*others).orderBy(number.desc_nulls_last()))
+    keep = runs.withColumn("__rank", rank).where("__rank = 1").withColumn("__newest", F.coalesce(number, missing))
+    condition = F.coalesce(data[run_key].cast("bigint"), missing) == F.col("__newest")
     names = {c: f"__p{i}" for i, c in enumerate(others)}
     keep = keep.select(*[F.col(c).alias(n) for c, n in names.items()], "__newest")
     for c, n in names.items():
@@ -159,11 +161,13 @@ SUBJECT_WORDS = {
     "premium": "PREMIUM",
 }
 # File name prefixes in order of preference.
-BOOK_PREFIXES = ("", "Programs_", "JIF_")
+BOOK_PREFIXES = ("", "Programs_", "Partner_")
 
 
-def landing_file_name(subject: str, suffix: str, prefix: str = "") -> str:
-    return f"I2I_{prefix}{SUBJECT_WORDS[subject]}_NIP_{suffix}.CSV"
+def landing_file_name(
+    subject: str, suffix: str, prefix: str = "", pattern: str = "FEED_{prefix}{word}_LAND_{suffix}.CSV"
+) -> str:
+    return pattern.format(prefix=prefix, word=SUBJECT_WORDS[subject], suffix=suffix)
 
 
 def named_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,7 +231,7 @@ LINES = (
 
 
 def grid_files(
-    spark: SparkSession, root: str, lines: Sequence[str], years: Sequence[int]
+    spark: SparkSession, root: str, lines: Sequence[str], years: Sequence[int] | None
 ) -> list[tuple[str, int, str, int]]:
     """(path, size, line, year) of the files a grid of lines and years names and that exist."""
     name = F.col("name")
@@ -240,7 +244,7 @@ def grid_files(
             F.regexp_extract(name, parts, 1).alias("line"),
             F.regexp_extract(name, parts, 2).try_cast("int").alias("year"),
         )
-        .where(F.col("line").isin(*lines) & F.col("year").isin(*years))
+        .where(F.col("line").isin(*lines) & (F.col("year").isin(*years) if years is not None else F.col("year").isNotNull()))
         .orderBy("line", "year", "path")
         .collect()
     )
@@ -273,10 +277,10 @@ def grid_load(
     spark: SparkSession,
     root: str,
     lines: Sequence[str] = LINES,
-    years: Sequence[int] = tuple(range(2019, 2025)),
+    years: Sequence[int] | None = None,
     multi_line: bool | None = None,
 ) -> DataFrame:
-    """All files of the grid as one frame with ``line`` and ``year``, headers made canonical."""
+    """All files of the grid as one frame with ``line`` and ``year`` (all years unless some are asked for), headers made canonical."""
     files = [(path, size, line) for path, size, line, _ in grid_files(spark, root, lines, years)]
     if not files:
         raise FileNotFoundError(f"no file of the grid in {root}")
@@ -300,6 +304,7 @@ SHEET_LINES = {
     "umbrella": "umbrella",
     "excess": "umbrella",
     "fees": "fee",
+    "fee": "fee",
 }
 
 

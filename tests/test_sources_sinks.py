@@ -101,11 +101,11 @@ def test_latest_runs_without_runs_and_with_many_partitions(spark, folder):
 
 
 def test_landing_preference(spark, folder):
-    for name in ("I2I_JIF_CLAIM_NIP_20241231.CSV", "I2I_Programs_CLAIM_NIP_20241231.CSV", "I2I_CLAIM_NIP_20241130.CSV"):
+    for name in ("FEED_Partner_CLAIM_LAND_20241231.CSV", "FEED_Programs_CLAIM_LAND_20241231.CSV", "FEED_CLAIM_LAND_20241130.CSV"):
         write(f"{folder}/{name}", "a\n1\n")
     pick = lambda suffix: S.landing_file(spark, folder, "claims", suffix).rsplit("/", 1)[-1]
-    assert pick("20241231") == "I2I_Programs_CLAIM_NIP_20241231.CSV"
-    assert pick("20241130") == "I2I_CLAIM_NIP_20241130.CSV"
+    assert pick("20241231") == "FEED_Programs_CLAIM_LAND_20241231.CSV"
+    assert pick("20241130") == "FEED_CLAIM_LAND_20241130.CSV"
     with pytest.raises(FileNotFoundError):
         pick("20240101")
 
@@ -167,17 +167,22 @@ def test_snapshot_is_idempotent_and_checked(spark, folder):
     assert spark.read.parquet(path).count() == 6
 
 
-def test_single_file_export_only_for_small_results(spark, folder, monkeypatch):
+def test_single_file_export_only_if_asked_for(spark, folder):
     parts = lambda p: sum(f.startswith("part-") for f in os.listdir(p))
     df = spark.range(100).repartition(4)
     K.export_csv(df, f"{folder}/one", single_file=True)
     assert parts(f"{folder}/one") == 1
-    monkeypatch.setattr(K, "SINGLE_FILE_ROWS", 50)
-    K.export_csv(df, f"{folder}/many", single_file=True)
+    K.export_csv(df, f"{folder}/many")
     assert parts(f"{folder}/many") == 4
     assert spark.read.csv(f"{folder}/many", header=True).count() == 100
 
 
+def test_newest_run_of_partitions_without_a_positive_key(spark, folder):
+    rows = spark.sql("SELECT * FROM VALUES ('a', 3, 1), ('a', 5, 2), ('b', NULL, 3), ('c', -2, 4), ('c', NULL, 5) AS t(line, process_run_key, x)")
+    rows.write.partitionBy("line", "process_run_key").parquet(f"{folder}/runs")
+    assert sorted(r.x for r in S.latest_runs(spark, f"{folder}/runs").collect()) == [2, 3, 4]
+
+
 def test_table_sizes_of_directories(spark, folder):
     spark.range(100).repartition(3).write.parquet(f"{folder}/t1")
     spark.range(4).withColumn("p", F.col("id") % 2).coalesce(1).write.partitionBy("p").parquet(f"{folder}/t2")
