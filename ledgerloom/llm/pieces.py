@@ -173,9 +173,34 @@ class PieceModel:
         """Ids of a whole text."""
         return [i for x in self.stretches(self.normal(text)) for i in self.encode_stretch(x)]
 
+    def short(self, text: str) -> list[str]:
+        """The same search for a text within two windows, in which nothing is committed before the end."""
+        back = [0]
+        known, tails, together = self.id, self.tails, self.together
+        for end in range(1, len(text) + 1):
+            best = end - 1
+            reach = tails.get(text[end - 3 : end], 2) if end > 2 else end
+            for start in range(end - reach if end > reach else 0, end):
+                piece = text[start:end]
+                if piece in known or end - start == 1:
+                    if not start:
+                        best = 0
+                        break
+                    pair = (text[back[start] : start], piece)
+                    stays = together.get(pair)
+                    if self.stable(*pair) if stays is None else stays:
+                        best = start
+                        break
+            back.append(best)
+        found, at = [], len(text)
+        while at:
+            found.append(text[back[at] : at])
+            at = back[at]
+        return found[::-1]
+
     def encode_stretch(self, text: str) -> list[int]:
         out: list[int] = []
-        for piece in self.search(text):
+        for piece in self.short(text) if self.bpe and len(text) < 2 * self.longest else self.search(text):
             out += self.ids_of(piece)
         return out
 
