@@ -66,7 +66,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("decontamination", drop_contaminated),
     ("sentence_pieces", encode_pieces),
 ]
-#: No stage is one that SQL can repeat; tests/llm compares with brute force.
+#: No stage is one that SQL can repeat; tests/llm tests the operators of the stages.
 ORACLE_SQL = None
 
 
