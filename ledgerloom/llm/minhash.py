@@ -39,6 +39,8 @@ BANDS, ROWS = 21, 6
 FIRSTS = 4
 #: Bits of an entry that are kept to tell how many entries two texts share.
 PLANES = 8
+#: Bits of the map that bounds the shingles two texts do not share.
+MAP_BITS = 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,11 +174,43 @@ def entries_unlike(a: str, b: str, coordinates: int = BANDS * ROWS) -> Column:
     return found
 
 
+def first_shared_band(a: str, b: str, bands: int = BANDS) -> Column:
+    """The first of the bands that two texts have in common; NULL if there is none."""
+    shared = F.lit(None).cast("long")
+    for i in reversed(range(bands)):
+        one, other = F.get(F.col(a), F.lit(i)), F.get(F.col(b), F.lit(i))
+        shared = F.when(one == other, one).otherwise(shared)
+    return shared
+
+
 def most_unlike(threshold: float, coordinates: int = BANDS * ROWS) -> int:
     """Entries that differ in two texts of that similarity, with four standard deviations more: 1 pair in 30 000 has more."""
     return math.ceil(coordinates * (1 - threshold) + 4 * math.sqrt(coordinates * threshold * (1 - threshold)))
 
 
+def parity_maps(doc: np.ndarray, value: np.ndarray, count: np.ndarray, documents: int) -> np.ndarray:
+    """Whether an odd number of a text's shingles falls into each of ``MAP_BITS`` cells (texts x numbers).
+
+    Each bit in which two texts differ takes a shingle of its own that they do not share.
+    """
+    odd = count % 2 == 1
+    cell = (mix(value[odd] + _ODD) % np.uint64(MAP_BITS)).astype(np.int64)
+    held = np.bincount(doc[odd] * MAP_BITS + cell, minlength=documents * MAP_BITS) & 1
+    return np.packbits(held.astype(np.uint8).reshape(documents, MAP_BITS), axis=1).view(np.int64)
+
+
+def may_be_like(a: str, b: str, size_a: str, size_b: str, threshold: float) -> Column:
+    """False only for texts whose maps prove a similarity below the threshold: no link is lost.
+
+    With S shingles together, D of them not shared, the similarity is (S - D) / (S + D).
+    """
+    unshared = F.lit(0)
+    for i in range(MAP_BITS // 64):
+        unshared = unshared + F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i))))
+    together = F.col(size_a) + F.col(size_b)
+    return unshared * (1 + threshold) <= together * (1 - threshold + 1e-9)
+
+
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Hashes of the bands of the texts' signatures (texts x bands)."""
     texts = signature
@@ -191,14 +225,18 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batch, size=4 << 20):
             texts = texts_of(piece)
             full = np.array([bool(words(t)) for t in texts])
-            signature = darts(*shingles(texts), len(texts), BANDS * ROWS)
+            doc, value, count = shingles(texts)
+            signature = darts(doc, value, count, len(texts), BANDS * ROWS)
             lists = [
                 pa.ListArray.from_arrays(
                     pa.array(np.arange(len(texts) + 1) * x.shape[1], pa.int32()), pa.array(x.view(np.int64).ravel())
                 )
-                for x in (band_keys(signature), planes(signature))
+                for x in (band_keys(signature), planes(signature), parity_maps(doc, value, count, len(texts)))
             ]
-            yield pa.RecordBatch.from_arrays([piece.column(0), *lists], names=["key", "bands", "planes"]).filter(pa.array(full))
+            size = pa.array(np.bincount(doc, count, len(texts)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), *lists, size], names=["key", "bands", "planes", "map", "size"]
+            ).filter(pa.array(full))
 
 
 def similarity(a: bytes, b: bytes) -> float:
@@ -285,9 +323,13 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
     )
     sized = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    bands = sized.select("key", "text").mapInArrow(_banded, "key binary, bands array<long>, planes array<long>")
+    bands = sized.select("key", "text").mapInArrow(
+        _banded, "key binary, bands array<long>, planes array<long>, map array<long>, size long"
+    )
     # One row per text; equal texts have equal bands.
-    bands = stored(bands.groupBy("key").agg(F.first("bands").alias("bands"), F.first("planes").alias("planes")), "bands")
+    bands = stored(
+        bands.groupBy("key").agg(*[F.first(c).alias(c) for c in ("bands", "planes", "map", "size")]), "bands"
+    )
     entries = bands.select("key", F.explode("bands").alias("band"))
     full = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     crowded = checkpointed(entries.join(full, "band"))
@@ -330,11 +372,14 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         roots = components(links)
         rest = mixed()
     # What is left: all pairs of a band across its classes.
-    # Signatures too unlike for the threshold are left out within the join.
-    rest = rest.join(bands.select("key", "planes"), "key")
+    # Within the join, maps and signatures too unlike for the threshold are left out, and a pair of several
+    # bands comes from the first of them alone (all of them hold both classes, so all are here).
+    rest = rest.join(bands, "key")
     left, right = rest.alias("l"), rest.alias("r")
-    like = entries_unlike("l.planes", "r.planes") <= most_unlike(threshold)
-    across = left.join(right, F.expr("l.band = r.band AND l.key < r.key AND l.root != r.root") & like).select(
+    like = may_be_like("l.map", "r.map", "l.size", "r.size", threshold)
+    like = like & (entries_unlike("l.planes", "r.planes") <= most_unlike(threshold))
+    once = first_shared_band("l.bands", "r.bands") == F.col("l.band")
+    across = left.join(right, F.expr("l.band = r.band AND l.key < r.key AND l.root != r.root") & like & once).select(
         F.col("l.key").alias("a"), F.col("r.key").alias("b")
     )
     last = checkpointed(verified(across.dropDuplicates(), texts, threshold))

@@ -101,6 +101,46 @@ def test_near_duplicates(spark, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_maps_prove_only_what_is_unlike(spark):
+    rng = np.random.default_rng(4)
+    texts = [b"", b"a", b"a a a a a a a a"]
+    for _ in range(30):
+        base = rng.integers(0, 40, int(rng.integers(5, 400))).tolist()
+        texts += [" ".join(f"t{w if rng.random() > p else 99}" for w in base).encode() for p in (0, 0.01, 0.03, 0.3)]
+    doc, value, count = minhash.shingles(texts)
+    maps = minhash.parity_maps(doc, value, count, len(texts))
+    size = np.bincount(doc, count, len(texts)).astype(int)
+    rows = [(i, m.tolist(), int(s)) for i, (m, s) in enumerate(zip(maps, size, strict=True))]
+    df = spark.createDataFrame(rows, "i int, map array<long>, size long")
+    near = df.alias("l").join(df.alias("r"), minhash.F.expr("l.i < r.i AND l.i + 4 > r.i"))
+    like = minhash.may_be_like("l.map", "r.map", "l.size", "r.size", 0.8)
+    kept = {(r[0], r[1]): r[2] for r in near.select("l.i", "r.i", like).collect()}
+    alike = {p for p in kept if minhash.similarity(texts[p[0]], texts[p[1]]) >= 0.8}
+    assert alike and all(kept[p] for p in alike)
+    assert not all(kept.values())
+
+
+def test_near_duplicates_of_a_family_at_the_threshold(spark, odd):
+    """Edited copies of one text, some like it and some only like another copy: classes as brute force has them."""
+    rng = np.random.default_rng(7)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for i in range(60):
+        copy = list(rows[-1][1].split() if i % 3 == 2 else base)
+        for place in rng.choice(100, int(rng.integers(1, 5)), replace=False):
+            copy[place] = f"new{i}x{place}"
+        rows.append((i, " ".join(copy)))
+    root = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if minhash.similarity(rows[i][1].encode(), rows[j][1].encode()) >= 0.8:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert 5 < len(set(root)) < 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_darts_meet_with_the_weighted_similarity():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 4, 200), rng.integers(0, 4, 200)
