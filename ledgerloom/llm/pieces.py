@@ -75,6 +75,14 @@ class PieceModel:
         for p in self.id:
             if len(p) > 2:
                 self.tails[p[-3:]] = max(len(p), self.tails.get(p[-3:], 0))
+        #: Lengths of the pieces that end in these four characters, the longest first.
+        self.sizes: dict[str, tuple[int, ...]] = {}
+        held: dict[str, set[int]] = {}
+        for p in self.id:
+            if len(p) > 3:
+                held.setdefault(p[-4:], {1, *(k for k in (2, 3) if p[-k:] in self.id)}).add(len(p))
+        for tail, found in held.items():
+            self.sizes[tail] = tuple(sorted(found, reverse=True))
         self.together: dict[tuple[str, str], bool] = {}
 
     def normal(self, text: str) -> str:
@@ -86,10 +94,10 @@ class PieceModel:
         return self.library.normalize(text)
 
     def stretches(self, text: str) -> list[str]:
-        """Parts of a normalised text between which all paths meet."""
+        """Parts of a normalised text between which all paths meet, with plain blanks."""
         if not self.by_blanks:
             return [text] if text else []
-        return [x.replace(" ", BLANK) for x in self.stretch.findall(text.replace(BLANK, " "))]
+        return self.stretch.findall(text.replace(BLANK, " "))
 
     def merged(self, text: str) -> list[str]:
         """Pairs of neighbours merged by score, the leftmost of equals first."""
@@ -176,13 +184,15 @@ class PieceModel:
     def short(self, text: str) -> list[str]:
         """The same search for a text within two windows, in which nothing is committed before the end."""
         back = [0]
-        known, tails, together = self.id, self.tails, self.together
+        known, sizes, together = self.id, self.sizes, self.together
         for end in range(1, len(text) + 1):
             best = end - 1
-            reach = tails.get(text[end - 3 : end], 2) if end > 2 else end
-            for start in range(end - reach if end > reach else 0, end):
+            for size in sizes.get(text[end - 4 : end], (3, 2, 1)) if end > 3 else range(end, 0, -1):
+                start = end - size
+                if start < 0:
+                    continue
                 piece = text[start:end]
-                if piece in known or end - start == 1:
+                if piece in known or size == 1:
                     if not start:
                         best = 0
                         break
@@ -200,6 +210,7 @@ class PieceModel:
 
     def encode_stretch(self, text: str) -> list[int]:
         out: list[int] = []
+        text = text.replace(" ", BLANK)
         for piece in self.short(text) if self.bpe and len(text) < 2 * self.longest else self.search(text):
             out += self.ids_of(piece)
         return out
@@ -228,7 +239,7 @@ def piece_model(path: str) -> PieceModel:
 @lru_cache(maxsize=2)
 def piece_codes(path: str) -> Codes:
     model = piece_model(path)
-    return Codes(model.encode_stretch)
+    return Codes(model.encode_stretch, most=700_000)
 
 
 def _encoded(path: str, with_ids: bool):
