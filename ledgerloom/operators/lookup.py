@@ -64,14 +64,14 @@ def fallback_lookup(
     into a key, ``table`` turns a key into ``take``.
     """
     prefixed = facts.withColumn("__prefix", F.left(F.col(quoted(code)), F.lit(code_length)))
-    own = lookup(prefixed, table, {key: table_key}, {take: "__own"})
-    other = lookup(own, cross_reference, {"__prefix": cross_code}, {cross_value: "__found"})
-    both = lookup(other, table, {"__found": table_key}, {take: "__found_take"})
+    crossed = lookup(prefixed, cross_reference, {"__prefix": cross_code}, {cross_value: "__found"})
     is_unknown = F.col(quoted(key)) == F.lit(unknown)
-    return both.select(
+    named = crossed.withColumn("__key", F.when(is_unknown, F.col("__found")).otherwise(F.col(quoted(key))))
+    taken = lookup(named, table, {"__key": table_key}, {take: "__taken"})
+    return taken.select(
         *[F.col(quoted(c)) for c in facts.columns],
-        F.when(is_unknown, F.col("__found")).otherwise(F.col(quoted(key))).alias(key_out),
-        F.when(is_unknown, F.col("__found_take")).otherwise(F.col("__own")).alias(take_out),
+        F.col("__key").alias(key_out),
+        F.col("__taken").alias(take_out),
     )
 
 

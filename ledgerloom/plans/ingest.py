@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,6 @@ TRAILING = {
     "premium": ("model_year double", "unit_number double", "premium_created_date date"),
 }
 # Codes that override a looked-up value.
-PROGRAM_BY_BILLING_CODE = {"161856": "Tree Pro"}
 COVERAGE_AS_LOB_POLICY = "EPL/POL"
 COVERAGE_AS_LOB_PREMIUM = "Not Selected"
 VEHICLE_LOBS = ("AL", "APD")
@@ -53,6 +52,8 @@ class References:
     organization: DataFrame
     lob: DataFrame
     cov_desc: DataFrame | None = None
+    #: Programs of billing codes that override the looked-up program.
+    program_by_billing_code: dict[str, str] = field(default_factory=dict)
 
 
 def exposure_base(lob: Column) -> Column:
@@ -106,7 +107,7 @@ def enrich_policy(raw: DataFrame, refs: References) -> DataFrame:
     return df.withColumns(
         {
             "specialty_program": case_override(
-                F.col("specialty_program"), F.col("billing_code"), PROGRAM_BY_BILLING_CODE
+                F.col("specialty_program"), F.col("billing_code"), refs.program_by_billing_code
             ),
             "LOB": case_override(
                 F.col("LOB"), F.col("primary_coverage"), {COVERAGE_AS_LOB_POLICY: F.col("primary_coverage")}

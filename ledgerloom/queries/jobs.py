@@ -272,7 +272,7 @@ def references(spark: SparkSession, folder: str, coverage: DataFrame, cov_desc:
             path = scratch_path(spark, f"ref-{name}")
             sink.overwrite(df, path)
             stored[name] = spark.read.parquet(path)
-    return References(**stored)
+    return References(**stored, program_by_billing_code={"900001": "Orchard"})
 
 
 ORGANIZATION_SQL = """org AS (SELECT n_name AS organization, r_name AS book, 'Account ' || n_name AS account_name,
@@ -406,9 +406,9 @@ def ingest_exposures(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "ingest_policy",
     f"""WITH {ORGANIZATION_SQL}, lob AS (SELECT DISTINCT c_mktsegment AS coverage, left(c_mktsegment, 2) AS lob FROM customer WHERE c_mktsegment <> 'FURNITURE')
-SELECT '2024-12-31' AS as_of, book, account_name, CASE WHEN c_acctbal > 5000 THEN 'Tree Pro' ELSE specialty_program END AS specialty_program, carrier,
+SELECT '2024-12-31' AS as_of, book, account_name, CASE WHEN c_acctbal > 5000 THEN 'Orchard' ELSE specialty_program END AS specialty_program, carrier,
 CASE WHEN c_acctbal < 0 THEN 'EPL/POL' ELSE lob END AS "LOB", CAST(c_custkey AS VARCHAR) AS policy_number, 'NATION_' || c_nationkey AS organization,
-CASE WHEN c_acctbal > 5000 THEN '161856' ELSE '0' END AS billing_code, CASE WHEN c_acctbal < 0 THEN 'EPL/POL' ELSE c_mktsegment END AS primary_coverage,
+CASE WHEN c_acctbal > 5000 THEN '900001' ELSE '0' END AS billing_code, CASE WHEN c_acctbal < 0 THEN 'EPL/POL' ELSE c_mktsegment END AS primary_coverage,
 CASE c_mktsegment WHEN 'BUILDING' THEN 'n/a' WHEN 'MACHINERY' THEN NULL ELSE '15' END AS sub_producer_commission_char,
 CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN CAST(0.15 AS DOUBLE) END AS sub_producer_commission
 FROM customer LEFT JOIN org ON org.organization = 'NATION_' || c_nationkey
@@ -420,7 +420,7 @@ def ingest_policy(spark: SparkSession, folder: str) -> DataFrame:
     raw = customers.select(
         F.col("c_custkey").alias("policy_number"),
         F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("organization"),
-        F.when(F.col("c_acctbal") > 5000, "161856").otherwise("0").alias("billing_code"),
+        F.when(F.col("c_acctbal") > 5000, "900001").otherwise("0").alias("billing_code"),
         F.when(F.col("c_acctbal") < 0, "EPL/POL").otherwise(segment).alias("primary_coverage"),
         F.when(segment == "BUILDING", "n/a").when(segment == "MACHINERY", None).otherwise("15").alias("sub_producer_commission_char"),
     )

@@ -17,8 +17,6 @@ from ledgerloom.operators.sizing import broadcast_if_few
 CORRUPT = "_corrupt_record"
 # Partition directories whose newest runs are sent to every executor.
 MAX_BROADCAST_PARTITIONS = 1_000_000
-# Below this size a file is parsed as one piece without looking at its quotes.
-SPLIT_WORTHWHILE_BYTES = 256 * 1024 * 1024
 # A quoted field that starts and ends on its line.
 _CLOSED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
@@ -28,13 +26,16 @@ def csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def records_span_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether some line holds a quote that is not part of a field closed on that line.
+    """Whether some line can't be read apart from its neighbours with the same result.
 
-    If none does, every record is one line and the files can be split.
+    Such a line holds a quote that is not part of a field closed on that line, a
+    bare carriage return, or nothing but blanks.  If there is none, every record
+    is one line and the files can be split.
     """
-    lines = spark.read.text(path)
-    rest = F.regexp_replace("value", _CLOSED_FIELD, "$1")
-    return not lines.where(rest.contains('"')).isEmpty()
+    line = F.regexp_replace("value", r"\r\z", "")
+    rest = F.regexp_replace(line, _CLOSED_FIELD, "$1")
+    odd = rest.contains('"') | line.contains("\r") | line.rlike(r"\A\s+\z")
+    return not spark.read.option("lineSep", "\n").text(path).where(odd).isEmpty()
 
 
 def csv_robust(
@@ -42,22 +43,16 @@ def csv_robust(
     path: str | list[str],
     multi_line: bool | None = None,
     corrupt: bool = False,
-    size: int | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All-text scan: line breaks in quoted fields, doubled quotes, bad lines kept.
 
     A file with multi-line records cannot be split.  With ``multi_line=None``
-    large inputs are first checked in parallel for such records, and are read
-    in splits when there are none; the rows are the same either way (``size`` saves
-    the listing when the caller knows it).  With
-    ``corrupt`` the raw text of malformed lines is in ``_corrupt_record``.
+    inputs of any size are first checked in parallel for such records, and are
+    read in splits when there are none.  With ``corrupt`` the raw text of malformed lines is in ``_corrupt_record``.
     """
     if multi_line is None:
-        if size is None:
-            paths = [path] if isinstance(path, str) else path
-            size = file_listing(spark, paths, recursive=False).agg(F.sum("length").alias("n")).first()["n"] or 0
-        multi_line = size < SPLIT_WORTHWHILE_BYTES or records_span_lines(spark, path)
+        multi_line = records_span_lines(spark, path)
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
@@ -75,7 +70,7 @@ def csv_robust(
     return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str | None, ...]:
+def csv_header(spark: SparkSession, path: str | list[str]) -> tuple[str | None, ...]:
     """The header cells as they stand in the file, repeated ones included."""
     row = spark.read.csv(path, header=False, multiLine=True, quote='"', escape='"').head()
     return tuple(row) if row is not None else ()
@@ -84,14 +79,30 @@ def csv_header(spark: SparkSession, path: str) -> tuple[str | None, ...]:
 def csv_typed(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, blanks_are_null: bool = True
 ) -> DataFrame:
-    """Scan with a given schema; a value that does not fit is NULL.
+    """Scan with a given schema, whose columns are found by their names in the header; a value that does not fit is NULL.
 
-    With ``blanks_are_null=False`` a quoted empty text stays an empty text.
+    An unknown or missing column is an error, as is a later file whose header
+    differs from the first one's.  With ``blanks_are_null=False`` a quoted empty
+    text stays an empty text.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = csv_header(spark, path)
+    wanted = dict(zip(canonical_names(target.names), target.fields))
+    found = canonical_names(header)
+    if header and set(found) != set(wanted):
+        raise SchemaMismatch(
+            f"unknown columns {sorted(set(found) - set(wanted))}, missing columns {sorted(set(wanted) - set(found))}"
+        )
+    if not header:
+        return spark.createDataFrame([], target)
+    exact = None not in header
+    in_file = [h if exact else c for h, c in zip(header, found)]
+    reader = spark.read.schema(T.StructType([T.StructField(n, wanted[c].dataType) for n, c in zip(in_file, found)]))
+    reader = reader.option("header", True).option("escape", '"').option("enforceSchema", not exact)
     if not blanks_are_null:
         reader = reader.option("emptyValue", "").option("nullValue", "\\N")
-    return reader.csv(path)
+    place = dict(zip(found, in_file))
+    return reader.csv(path).select(*[F.col(quoted(place[c])).alias(f.name) for c, f in wanted.items()])
 
 
 def csv_positional(spark: SparkSession, path: str | list[str], target: T.StructType) -> DataFrame:
@@ -257,13 +268,13 @@ def _scan_by_header(spark: SparkSession, files: Sequence[tuple[str, int, str]],
     Files of a line usually share their header for years, so the plan grows
     with the number of different headers and not with the number of files.
     """
-    groups: dict[tuple[str, tuple[str | None, ...]], list[tuple[str, int]]] = {}
-    for path, size, line in files:
-        groups.setdefault((line, csv_header(spark, path)), []).append((path, size))
+    groups: dict[tuple[str, tuple[str | None, ...]], list[str]] = {}
+    for path, _, line in files:
+        groups.setdefault((line, csv_header(spark, path)), []).append(path)
     scans = []
-    for (line, header), members in groups.items():
-        paths, places = [p for p, _ in members], [f"_c{i}" for i in range(len(header))]
-        raw = csv_robust(spark, paths, multi_line, size=sum(n for _, n in members), columns=places)
+    for (line, header), paths in groups.items():
+        places = [f"_c{i}" for i in range(len(header))]
+        raw = csv_robust(spark, paths, multi_line, columns=places)
         named = raw.select(
             *[F.col(c).alias(n) for c, n in zip(places, canonical_names(header))],
             F.lit(line).alias("line"),

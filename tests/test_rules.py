@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 import json
 from collections import Counter
 
@@ -341,12 +342,12 @@ def test_claims_composite_lookup_needs_the_earlier_ones(spark):
 
 def test_policy_and_premium_overrides(spark):
     policy = spark.createDataFrame(
-        [("1", "O1", "161856", "cov", "15"), ("2", "O1", "0", "EPL/POL", "n/a"), ("3", "O1", None, "none", "")],
+        [("1", "O1", "900001", "cov", "15"), ("2", "O1", "0", "EPL/POL", "n/a"), ("3", "O1", None, "none", "")],
         "policy_number string, organization string, billing_code string, primary_coverage string, sub_producer_commission_char string",
     )
-    got = ENRICHMENTS["policy"](policy, refs(spark))
+    got = ENRICHMENTS["policy"](policy, replace(refs(spark), program_by_billing_code={"900001": "Orchard"}))
     assert {r["policy_number"]: (r["specialty_program"], r["LOB"], r["sub_producer_commission"]) for r in got.collect()} == {
-        "1": ("Tree Pro", "GL", 0.15),
+        "1": ("Orchard", "GL", 0.15),
         "2": ("SP", "EPL/POL", None),
         "3": ("SP", None, None),
     }

@@ -42,6 +42,9 @@ def test_robust_scan(spark, folder):
         ('a,b\n1,5" pipe\n', True),
         ('a,b\n1,x"y,"abc\nd"\n', True),
         ("a,b\n1,2\n", False),
+        ("a,b\r\n1,2\r\n", False),
+        ("a,b\n1,x\ry\n", True),
+        ("a,b\n1,2\n   \n3,4\n", True),
     ],
 )
 def test_multi_line_check(spark, folder, text, spans):
@@ -51,8 +54,17 @@ def test_multi_line_check(spark, folder, text, spans):
         assert rows(S.csv_robust(spark, path, multi_line=False)) == rows(S.csv_robust(spark, path, multi_line=True))
 
 
-def test_large_files_are_checked_before_they_are_split(spark, folder, monkeypatch):
-    monkeypatch.setattr(S, "SPLIT_WORTHWHILE_BYTES", 1)
+def test_typed_columns_are_found_by_name(spark, folder):
+    schema = "k int, v string, day date"
+    path = write(f"{folder}/a.csv", "v,day,k\nx,2024-01-31,1\n")
+    assert rows(S.csv_typed(spark, path, schema)) == [(1, "x", dt.date(2024, 1, 31))]
+    for header in ("v,day", "v,day,k,more"):
+        odd = write(f"{folder}/{len(header)}.csv", f"{header}\n")
+        with pytest.raises(SchemaMismatch):
+            S.csv_typed(spark, odd, schema)
+
+
+def test_files_are_checked_before_they_are_split(spark, folder):
     spanning = write(f"{folder}/m/a.csv", 'a,b\n1,"x\ny"\n')
     plain = write(f"{folder}/p/a.csv", 'a,b\n1,"x"\n')
     assert rows(S.csv_robust(spark, spanning)) == [("1", "x\ny")]
