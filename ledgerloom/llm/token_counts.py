@@ -4,15 +4,16 @@ Every document becomes frequencies of its pre-tokens.  The frequencies meet the
 piece counts, made once per distinct pre-token, in the partition of the
 pre-token; only sums go back to the documents.
 
-The documents of an Arrow slice travel as one *sheaf*: a pre-token's row names
-the documents of the sheaf that hold it and how often, so a row is sent per
-pre-token and sheaf, not per pre-token and document.  Pre-tokens that are pieces
+The documents of an Arrow slice travel as one *sheaf*: each pre-token names
+the documents of the sheaf that hold it and how often, and all pre-tokens of one
+bucket (by their hash) travel in one row per sheaf.  Pre-tokens that are pieces
 of the vocabulary (a fixed number) are added up at once.  A pre-token of many
 documents in a sheaf is dealt over several partitions by sheaf.
 """
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,20 +24,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import at_hand, slices, texts_of
+from ledgerloom.llm.common import at_hand, gather, slices, spans, texts_of
 from ledgerloom.llm.tokenizing import pre_tokenizer, tokenizer_path
 
 #: Partitions over which a pre-token of many documents is dealt.
 SALTS = 16
+#: Buckets for each shuffle partition.
+BUCKETS = 4
 _SHEAF = (
-    "sheaf long, part int, token string, place array<int>, times array<int>, "
+    "sheaf long, part int, token array<string>, held array<int>, place array<int>, times array<int>, "
     "doc_id array<long>, n_bytes array<long>"
 )
 _FIELDS = pa.schema(
     [
         ("sheaf", pa.int64()),
         ("part", pa.int32()),
-        ("token", pa.string()),
+        ("token", pa.list_(pa.string())),
+        ("held", pa.list_(pa.int32())),
         ("place", pa.list_(pa.int32())),
         ("times", pa.list_(pa.int32())),
         ("doc_id", pa.list_(pa.int64())),
@@ -57,19 +61,20 @@ class _Seen(dict):
         self.tok, self.most = pre_tokenizer(path), most
         self.fixed = self.tok.known()
         self.names: list[str] = []
-        self.known = array("i")
+        self.known, self.hash = array("i"), array("L")
 
     def __missing__(self, token: bytes | str) -> int:
         name = self.tok.spelled(token)
         self[token] = code = len(self.names)
         self.names.append(name)
         self.known.append(self.fixed.get(name, -1))
+        self.hash.append(zlib.crc32(name.encode()))
         return code
 
     def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
-            self.names, self.known = [], array("i")
+            self.names, self.known, self.hash = [], array("i"), array("L")
 
 
 @lru_cache(maxsize=2)
@@ -77,8 +82,8 @@ def _seen(path: str) -> _Seen:
     return _Seen(path)
 
 
-def _bind(path: str):
-    """Documents to sheaves: a head row with ids, sizes and known counts, then a row per other pre-token."""
+def _bind(path: str, buckets: int):
+    """Documents to sheaves: a head row with ids, sizes and known counts, then the other pre-tokens, a row per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _seen(path)
@@ -107,8 +112,9 @@ def _bind(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([sheaf]),
-                        pa.array([sheaf % SALTS], pa.int32()),
-                        pa.array([None], pa.string()),
+                        pa.array([sheaf % buckets], pa.int32()),
+                        pa.nulls(1, pa.list_(pa.string())),
+                        pa.nulls(1, pa.list_(pa.int32())),
                         _lists(here, np.array([0, n]), pa.int32()),
                         _lists(base, np.array([0, n]), pa.int32()),
                         pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids.cast(pa.int64())),
@@ -118,23 +124,30 @@ def _bind(path: str):
                 )
                 code, place, times = (x[known < 0] for x in (code, place, times))
                 first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else code
-                for at in range(0, len(first), 8192):
-                    starts = np.r_[first[at : at + 8193], len(code)][:8193]
-                    some = slice(starts[0], starts[-1])
-                    count = len(starts) - 1
-                    part = np.where(np.diff(starts) * SALTS >= max(n, 64), 1 + sheaf % SALTS, 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(count, sheaf)),
-                            pa.array(part, pa.int32()),
-                            pa.array([seen.names[c] for c in code[starts[:-1]].tolist()], pa.string()),
-                            _lists(place[some], starts - starts[0], pa.int32()),
-                            _lists(times[some], starts - starts[0], pa.int32()),
-                            pa.nulls(count, pa.list_(pa.int64())),
-                            pa.nulls(count, pa.list_(pa.int64())),
-                        ],
-                        schema=_FIELDS,
-                    )
+                if not len(code):
+                    continue
+                held_by = np.diff(np.r_[first, len(code)])
+                codes = code[first]
+                salt = np.where(held_by * SALTS >= max(n, 64), 1 + sheaf % SALTS, 0)
+                bucket = (np.array(seen.hash, np.int64)[codes] + salt * 7919) % buckets
+                order = np.argsort(bucket, kind="stable")
+                bucket, codes, starts, held_by = (x[order] for x in (bucket, codes, first, held_by))
+                ends = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
+                reach = spans(held_by)[ends]
+                count = len(ends) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(count, sheaf)),
+                        pa.array(bucket[ends[:-1]], pa.int32()),
+                        _lists(np.array([seen.names[c] for c in codes.tolist()], object), ends, pa.string()),
+                        _lists(held_by, ends, pa.int32()),
+                        _lists(gather(place, starts, held_by), reach, pa.int32()),
+                        _lists(gather(times, starts, held_by), reach, pa.int32()),
+                        pa.nulls(count, pa.list_(pa.int64())),
+                        pa.nulls(count, pa.list_(pa.int64())),
+                    ],
+                    schema=_FIELDS,
+                )
 
     return run
 
@@ -154,16 +167,18 @@ def _count(path: str):
                 continue
             if len(pieces) > 500_000:
                 pieces.clear()
-            counts = np.empty(rows.num_rows, np.int64)
-            for i, p in enumerate(rows.column(2).to_pylist()):
+            tokens = rows.column(2).flatten().to_pylist()
+            counts = np.empty(len(tokens), np.int64)
+            for i, p in enumerate(tokens):
                 n = pieces.get(p)
                 if n is None:
                     n = pieces[p] = tok.pieces(p)
                 counts[i] = n
-            place = rows.column(3).flatten().to_numpy()
-            times = rows.column(4).flatten().to_numpy()
-            held = pa.compute.list_value_length(rows.column(3)).to_numpy()
-            sheaf = np.repeat(rows.column(0).to_numpy(), held)
+            place = rows.column(4).flatten().to_numpy()
+            times = rows.column(5).flatten().to_numpy()
+            held = rows.column(3).flatten().to_numpy()
+            width = pa.compute.list_value_length(rows.column(2)).to_numpy()
+            sheaf = np.repeat(np.repeat(rows.column(0).to_numpy(), width), held)
             value = np.repeat(counts, held) * times
             order = np.lexsort((place, sheaf))
             sheaf, place, value = sheaf[order], place[order], value[order]
@@ -175,7 +190,8 @@ def _count(path: str):
                 [
                     pa.array(sheaf[ends[:-1]]),
                     pa.array(np.zeros(n), pa.int32()),
-                    pa.nulls(n, pa.string()),
+                    pa.nulls(n, pa.list_(pa.string())),
+                    pa.nulls(n, pa.list_(pa.int32())),
                     _lists(place, ends, pa.int32()),
                     _lists(value, ends, pa.int32()),
                     pa.nulls(n, pa.list_(pa.int64())),
@@ -212,9 +228,9 @@ def token_counts(documents: DataFrame, path: str | None = None, limit: int = 204
     spark = documents.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bound = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _bind(path), _SHEAF
+        _bind(path, BUCKETS * n), _SHEAF
     )
-    sums = bound.repartition(n, "token", "part").mapInArrow(_count(path), _SHEAF)
+    sums = bound.repartition(n, "part").mapInArrow(_count(path), _SHEAF)
     return (
         sums.groupBy("sheaf")
         .applyInArrow(_unbind, "doc_id long, n_bytes long, n_tokens long")
