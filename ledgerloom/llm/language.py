@@ -120,7 +120,7 @@ def _parser(sample: dict[str, str]) -> tuple[list[str], Codes]:
             text = f" {word} "
             return [a.phrases(text) for a in automata]
 
-        _BUILT[key] = list(sample), Codes(phrases, "H")
+        _BUILT[key] = list(sample), Codes(phrases)
     return _BUILT[key]
 
 
