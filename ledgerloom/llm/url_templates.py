@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import checkpointed
 
-#: Levels of the tree; deeper segments stay as they are.
-DEPTH = 4
 #: Different children from which on a node is a wildcard.
 MANY = 16
 #: Jensen-Shannon divergence up to which children are merged.
@@ -66,21 +64,30 @@ def _shape(segment: Column) -> Column:
     return F.substring(F.regexp_replace(kind, r"(a[^a.{}$]*)+", "a"), 1, 16)
 
 
-def templates(paths: DataFrame, depth: int = DEPTH, many: int = MANY, alike: float = ALIKE) -> DataFrame:
-    """``paths``: ``host, shape, n, bad, good`` per distinct canonical path; adds ``template``."""
+def templates(paths: DataFrame, many: int = MANY, alike: float = ALIKE) -> DataFrame:
+    """``paths``: ``host, shape, n, bad, good`` per distinct canonical path; adds ``template``.
+
+    Works level by level until no path has a further segment.  A path alone in
+    its node has one child on every further level, so its rest is named at once.
+    """
+    segments = F.split(F.col("shape"), "/")
     tree = paths.select(
-        "host", "shape", "n", "bad", "good", F.split(F.col("shape"), "/").alias("segments"), F.lit("").alias("template")
+        "host", "shape", "n", "bad", "good", segments.alias("segments"), F.lit("").alias("template"), (F.size(segments) > 1).alias("open")
     )
     label = F.when(F.col("bad") > F.col("good"), "bad").when(F.col("good") > 0, "good").otherwise("none")
-    for level in range(1, depth + 1):
-        here = F.get(F.col("segments"), F.lit(level))
+    level = 0
+    while tree.where("open").limit(1).count():
+        level += 1
+        here = F.when(F.col("open"), F.get(F.col("segments"), F.lit(level)))
         tree = tree.withColumn("segment", here).withColumn(
             "follows", F.concat_ws("|", _shape(F.get(F.col("segments"), F.lit(level + 1))), label)
         )
         node = ["host", "template"]
         inner = tree.where(F.col("segment").isNotNull())
-        seen = inner.groupBy(*node, "segment", "follows").agg(F.sum("n").alias("c"))
-        child = seen.groupBy(*node, "segment").agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
+        seen = inner.groupBy(*node, "segment", "follows").agg(F.sum("n").alias("c"), F.count("*").alias("paths"))
+        child = seen.groupBy(*node, "segment").agg(
+            F.sum("c").alias("total"), F.count("*").alias("kinds"), F.sum("paths").alias("held")
+        )
         whole = seen.groupBy(*node, "follows").agg(F.sum("c").alias("all"))
         size = child.groupBy(*node).agg(F.sum("total").alias("mass"), F.count("*").alias("children"))
         p, q = F.col("c") / F.col("total"), F.col("all") / F.col("mass")
@@ -95,6 +102,7 @@ def templates(paths: DataFrame, depth: int = DEPTH, many: int = MANY, alike: flo
                 F.max("total").alias("total"),
                 F.max("kinds").alias("kinds"),
                 F.max("children").alias("children"),
+                F.max("held").alias("held"),
             )
         )
         # Few urls differ from the whole by chance alone.
@@ -102,15 +110,19 @@ def templates(paths: DataFrame, depth: int = DEPTH, many: int = MANY, alike: flo
         becomes = (
             F.when(F.col("children") > many, "*").when(near & (F.col("children") > 1), "+").otherwise(F.col("segment"))
         )
-        named = far.select(*node, "segment", becomes.alias("becomes"))
+        # A segment that reads as a wildcard shares its node with what became one.
+        alone = (F.col("held") == 1) & (becomes == F.col("segment")) & ~F.col("segment").isin("*", "+")
+        named = far.select(*node, "segment", becomes.alias("becomes"), alone.alias("alone"))
+        further = F.size("segments") > level + 1
+        rest = F.array_join(F.slice("segments", level + 2, F.greatest(F.size("segments") - level - 1, F.lit(0))), "/")
+        tail = F.when(F.col("alone") & further, F.concat(F.lit("/"), rest)).otherwise("")
         tree = checkpointed(
             tree.join(named, [*node, "segment"], "left")
-            .withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("becomes", "segment"))))
-            .drop("segment", "follows", "becomes")
+            .withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("becomes", "segment"), tail)))
+            .withColumn("open", F.col("segment").isNotNull() & ~F.coalesce("alone", F.lit(False)) & further)
+            .drop("segment", "follows", "becomes", "alone")
         )
-    rest = F.array_join(F.slice("segments", depth + 2, F.greatest(F.size("segments") - depth - 1, F.lit(0))), "/")
-    tail = F.when(F.size("segments") > depth + 1, F.concat(F.lit("/"), rest)).otherwise("")
-    return tree.select("host", "shape", "n", "bad", "good", F.concat("template", tail).alias("template"))
+    return tree.select("host", "shape", "n", "bad", "good", "template")
 
 
 def url_filter(pages: DataFrame, rules: Rules | None = None, labels: DataFrame | None = None) -> DataFrame:
