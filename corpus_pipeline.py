@@ -55,8 +55,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of each document and whether decoding gives its text again."""
-    return encoded(docs, with_ids=False)
+    """Piece ids of each document and whether decoding them gives its text again."""
+    return encoded(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

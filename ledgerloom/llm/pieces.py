@@ -217,7 +217,10 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes joined to characters, visible blanks made blanks, the blank in front dropped."""
-        raw = b"".join(self.raw[i] for i in ids)
+        return self.text(b"".join(self.raw[i] for i in ids))
+
+    def text(self, raw: bytes) -> str:
+        """The text of the bytes of pieces."""
         text = raw.decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 
@@ -270,7 +273,7 @@ def _encoded(path: str, with_ids: bool):
                     "n_pieces": pa.array(np.diff(reach), pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(plain[s:e]) for s, e in zip(reach, reach[1:], strict=False)], pa.int64()),
                     "same_text": pa.array(
-                        [back[s:e] == t.encode() for s, e, t in zip(place, place[1:], normal, strict=False)], pa.bool_()
+                        [model.text(back[s:e]) == t for s, e, t in zip(place, place[1:], texts, strict=False)], pa.bool_()
                     ),
                 }
                 if with_ids:
@@ -284,8 +287,11 @@ def encoded(documents: DataFrame, path: str | None = None, with_ids: bool = True
     """Pieces per document: ``doc_id, n_chars, n_pieces, ids_crc32, same_text`` and, if asked, ``ids``.
 
     ``documents``: ``doc_id`` and ``text``; other columns are ignored.  Ids are
-    those of the library.  ``same_text``: decoding the ids gives the normalised
-    text again, byte for byte.  A NULL or empty text has no pieces; rows keep
+    those of the library.  ``same_text``: decoding the ids gives the text of the
+    document again.  It doesn't where normalisation loses something: a U+2581 in
+    the text comes back as a blank, and a model whose normaliser folds characters
+    or drops blanks doesn't give those again, nor one without byte pieces
+    characters it doesn't know.  A NULL or empty text has no pieces; rows keep
     their NULL or repeated ids.
     """
     at_hand(documents.sparkSession)
