@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import read, stored
 from ledgerloom.llm.decontamination import contaminated
-from ledgerloom.llm.language import labelled_sample, predicted
+from ledgerloom.llm.language import labelled_sample, phrase_limits, predicted
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.pieces import encoded
 from ledgerloom.llm.toxicity import learn, scored
@@ -31,8 +31,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the labelled languages; texts without a letter are in none and go."""
-    rated = predicted(docs, labelled_sample(docs), docs.columns, ("__lang", "__sure"))
+    """Documents in one of the labelled languages; all if no text with a letter is labelled.
+
+    A text without a letter, or with more phrases per letter than the labelled
+    text allows (``phrase_limits``), is in none and goes.
+    """
+    sample = labelled_sample(docs)
+    if not any(sample.values()):
+        return docs
+    rated = predicted(docs, sample, docs.columns, ("__lang", "__sure"), phrase_limits(sample))
     return rated.where("__lang != 'und'").select(*docs.columns)
 
 

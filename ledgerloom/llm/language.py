@@ -28,6 +28,8 @@ MOST_LANGUAGES = 256
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Weight of the share of phrases saved against the next language when it becomes a score.
 _SHARPNESS = 8.0
+#: Deviations by which a text may have more phrases than the limit of its language.
+_SLACK = 3.0
 
 
 class SuffixAutomaton:
@@ -106,6 +108,29 @@ def labelled_sample(documents: DataFrame, documents_per_language: int = SAMPLE_D
     return {lang: " ".join(w for t in texts for w in words_of(t)) for lang, texts in sorted(found.items())}
 
 
+def phrase_limits(sample: dict[str, str]) -> list[tuple[float, float]]:
+    """Phrases per letter up to which a text is in each language of the sample, and the deviation of a word's phrases.
+
+    The second half of a language's words is parsed against the first, as it is
+    and with each word spelt backwards: the same letters in no language.  The
+    limit is halfway between the two rates.  One word alone sets no limit.
+    """
+    found = []
+    for text in sample.values():
+        words = text.split()
+        half = len(words) // 2
+        if not half:
+            found.append((np.inf, 0.0))
+            continue
+        automaton = SuffixAutomaton(f" {' '.join(words[:half])} ")
+        letters = np.array([len(w) for w in words[half:]])
+        own = np.array([automaton.phrases(f" {w} ") for w in words[half:]])
+        backwards = sum(automaton.phrases(f" {w[::-1]} ") for w in words[half:])
+        rate = own.sum() / letters.sum()
+        found.append((float(max(rate, (rate + backwards / letters.sum()) / 2)), float((own - rate * letters).std())))
+    return found
+
+
 _BUILT: dict[int, tuple[list[str], Codes]] = {}
 
 
@@ -124,7 +149,7 @@ def _parser(sample: dict[str, str]) -> tuple[list[str], Codes]:
     return _BUILT[key]
 
 
-def _predict(sample, names):
+def _predict(sample, names, limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, codes = _parser(sample.value)
         k = len(langs)
@@ -148,6 +173,10 @@ def _predict(sample, names):
                 known = (np.array(letters) > 0) & (k > 0)
                 rate = total / np.maximum(np.array(letters), 1)[:, None]
                 best = rate.argmin(1)
+                if limits:
+                    limit, spread = np.array(limits).T
+                    most = limit[best] + _SLACK * spread[best] * np.sqrt(np.diff(ends)) / np.maximum(letters, 1)
+                    known &= rate.min(1) <= most
                 share = np.exp(-_SHARPNESS * (rate / np.maximum(rate.min(1, keepdims=True), 1e-9) - 1))
                 score = np.where(known, 1 / share.sum(1), 0.0)
                 yield pa.RecordBatch.from_arrays(
@@ -166,14 +195,21 @@ def _predict(sample, names):
 
 
 def predicted(
-    documents: DataFrame, sample: dict[str, str], keep: list[str], names: tuple[str, str] = ("lang_pred", "score")
+    documents: DataFrame,
+    sample: dict[str, str],
+    keep: list[str],
+    names: tuple[str, str] = ("lang_pred", "score"),
+    limits: list[tuple[float, float]] | None = None,
 ) -> DataFrame:
-    """Columns ``keep`` of the documents with the predicted language and its score, so named."""
+    """Columns ``keep`` of the documents with the predicted language and its score, so named.
+
+    ``limits`` (see ``phrase_limits``): a text with more phrases than its best language allows is ``und`` too.
+    """
     at_hand(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(sample)
     rows = documents.select(*keep, F.col("text").cast("string").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predict(shared, names), f"{fields}, `{names[0]}` string, `{names[1]}` double")
+    return rows.mapInArrow(_predict(shared, names, limits), f"{fields}, `{names[0]}` string, `{names[1]}` double")
 
 
 def language_id(documents: DataFrame, training: DataFrame | None = None) -> DataFrame:
