@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import read
 from ledgerloom.llm.decontamination import contaminated
@@ -12,6 +13,7 @@ from ledgerloom.llm.language import language_id
 from ledgerloom.llm.licenses import license_scan
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.neighbours import nearest
+from ledgerloom.llm.periodic import periodic_runs
 from ledgerloom.llm.pieces import encoded
 from ledgerloom.llm.token_counts import token_counts
 from ledgerloom.llm.token_files import token_files
@@ -59,6 +61,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def with_planted_repeats(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``; the last words of every tenth text by the hash of its id repeat some words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.col("text").cast("string"), r"[ \x09-\x0D]+"), lambda w: w != "")
+    rows = documents.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    at = "(g % size(words))"
+    period = f"(1 + (size(words) - {at}) div (3 + g % 8))"
+    place = f"CASE WHEN i < {at} THEN i ELSE {at} + (i - {at}) % {period} END"
+    repeated = f"concat_ws(' ', transform(sequence(0, size(words) - 1), i -> get(words, CAST({place} AS int))))"
+    return rows.select("doc_id", F.expr(f"CASE WHEN size(words) > 0 THEN {repeated} ELSE text END").alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_repeats(read(spark, sf_dir, "documents")))
+    most = """aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>), (best, r) ->
+        CASE WHEN best IS NULL OR r.length * best.period > best.length * r.period THEN r ELSE best END)"""
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("best", F.expr(most)).selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS bigint) AS n_runs",
+        "best.start AS start",
+        "best.length AS length",
+        "best.period AS period",
+        "1000 * best.length div best.period AS exponent_milli",
+        f"sha2({lines}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_license_scan,
         op10_toxicity,
+        op12_periodic_runs,
     )
 }
 #: None of the methods is one that DuckDB's SQL can repeat; tests/llm compares them with brute force.
