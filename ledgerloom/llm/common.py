@@ -94,6 +94,17 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return flat[take]
 
 
+def order_of(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Places in the order of two keys of non-negative numbers."""
+    n = len(high)
+    bits = [max(int(x.max()), 1).bit_length() if n else 0 for x in (high, low)]
+    own = max(n, 1).bit_length()
+    if sum(bits) + own > 62:
+        return np.lexsort((low, high))
+    packed = np.sort((((high << bits[1]) | low) << own) | np.arange(n))
+    return packed & ((1 << own) - 1)
+
+
 class Codes(dict):
     """Numbers for byte strings, and for each a run of integers made once by ``make``.
 

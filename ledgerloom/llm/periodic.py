@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import at_hand, slices, spans, texts_of
+from ledgerloom.llm.common import at_hand, order_of, slices, spans, texts_of
 
 #: A run has at least so many words, and so many periods.
 LEAST_WORDS = 24
@@ -53,17 +53,6 @@ def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found.indices.to_numpy().astype(np.int64), counts
 
 
-def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Places in the order of two keys of non-negative numbers."""
-    n = len(high)
-    bits = [max(int(x.max()), 1).bit_length() if n else 0 for x in (high, low)]
-    own = max(n, 1).bit_length()
-    if sum(bits) + own > 62:
-        return np.lexsort((low, high))
-    packed = np.sort((((high << bits[1]) | low) << own) | np.arange(n))
-    return packed & ((1 << own) - 1)
-
-
 class _Suffixes:
     """Places whose next ``least`` words stand twice in their text, by suffix, and the words that neighbours share."""
 
@@ -78,7 +67,7 @@ class _Suffixes:
         self.kept = np.zeros(0, np.int64)
         width, base = 1, np.zeros(n, np.int64)
         while len(at):
-            order = _order(high, low)
+            order = order_of(high, low)
             at, base = at[order], base[order]
             new = np.r_[True, (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])]
             bucket = np.r_[True, base[1:] != base[:-1]]

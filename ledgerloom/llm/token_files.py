@@ -1,8 +1,8 @@
 """Token ids in grammar-compressed files.
 
 The ids of consecutive documents form a block.  Re-Pair replaces frequent pairs
-of neighbouring symbols by nonterminals until none is worth a rule.  Each round
-replaces all pairs of at least ``least`` occurrences at once, the more frequent
+of neighbouring symbols by nonterminals until no pair has ``LEAST`` occurrences.  Each round
+replaces all pairs of so many occurrences at once, the more frequent
 first where two overlap, as replacing them one by one would rescan the block for
 every rule.
 
@@ -35,11 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import at_hand, slices, texts_of
-from ledgerloom.llm.tokenizing import id_codes, pre_tokenizer, tokenizer_path
+from ledgerloom.llm.common import at_hand, gather, order_of, slices, spans, texts_of
+from ledgerloom.llm.tokenizing import encode_texts, pre_tokenizer, tokenizer_path
 from ledgerloom.session import scratch_path
 
 END_ID = 1
+#: A pair becomes a rule from so many occurrences on: the rule and its expansion length take three numbers.
+LEAST = 16
 SCHEMA = (
     "block long, terminals long, rules binary, expansions binary, symbols binary, "
     "doc_id array<long>, first_symbol array<long>, skip array<long>, n_tokens array<long>"
@@ -47,27 +49,31 @@ SCHEMA = (
 _BITS = 18
 
 
-def _frequent(seq: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of neighbours with at least so many occurrences, the most frequent first; where they stand; which there."""
-    key = (seq[:-1] << 32) | seq[1:]
+def _frequent(seq: np.ndarray, least: int, fresh: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of neighbours with at least so many occurrences, the most frequent first; where they stand; which there.
+
+    Only pairs with a symbol from ``fresh`` on: the others were seen in the round before and are too few.
+    """
+    at = np.flatnonzero((seq[:-1] >= fresh) | (seq[1:] >= fresh))
+    key = (seq[at] << 32) | seq[at + 1]
     # Numbers of hashed pairs bound the exact ones, so only the pairs of full cells are sorted.
     cell = (key * np.int64(-7046029254386353131)).view(np.uint64) >> np.uint64(64 - _BITS)
     cell = cell.view(np.int64)
-    where = np.flatnonzero((np.bincount(cell, minlength=1 << _BITS) >= least)[cell])
-    if not len(where):
-        return where, where, where
-    order = where[np.argsort(key[where], kind="stable")]
+    full = np.flatnonzero((np.bincount(cell, minlength=1 << _BITS) >= least)[cell])
+    if not len(full):
+        return full, full, full
+    order = full[order_of(seq[at[full]], seq[at[full] + 1])]
     ordered = key[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     counts = np.diff(np.r_[starts, len(ordered)])
     keep = np.flatnonzero(counts >= least)
-    keep = keep[np.argsort(-counts[keep], kind="stable")][:most]
-    rank = np.full(len(seq), -1, np.int32)
+    keep = keep[np.argsort(-counts[keep], kind="stable")]
     number = np.full(len(starts), -1, np.int32)
     number[keep] = np.arange(len(keep))
+    rank = np.full(len(at), -1, np.int32)
     rank[order] = np.repeat(number, counts)
     where = np.flatnonzero(rank >= 0)
-    return ordered[starts[keep]], where, rank[where]
+    return ordered[starts[keep]], at[where], rank[where]
 
 
 def _replace(seq: np.ndarray, where: np.ndarray, rank: np.ndarray, first: int) -> np.ndarray:
@@ -90,19 +96,18 @@ def _replace(seq: np.ndarray, where: np.ndarray, rank: np.ndarray, first: int) -
 
 
 def repair(
-    ids: np.ndarray, terminals: int, rounds: int = 3, least: int = 16, most: int = 1 << 15
+    ids: np.ndarray, terminals: int, least: int = LEAST
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (n x 2) and expansion lengths of a run of ids."""
     seq = ids.astype(np.int64)
     rules: list[np.ndarray] = []
     lengths = np.ones(0, np.int64)
-    first = terminals
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        keys, where, rank = _frequent(seq, least, most)
+    first, fresh = terminals, 0
+    while len(seq) > 1:
+        keys, where, rank = _frequent(seq, least, fresh)
         if not len(keys):
             break
+        fresh = first
         seq = _replace(seq, where, rank, first)
         pairs = np.stack([keys >> 32, keys & 0xFFFFFFFF], 1)
         size = np.where(pairs < terminals, 1, 0)
@@ -142,8 +147,8 @@ def _u32(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values, "<u4").tobytes()
 
 
-def block_row(ids: np.ndarray, lengths: np.ndarray, doc_ids: list, block: int, terminals: int, rounds: int) -> dict:
-    symbols, rules, expansions = repair(ids, terminals, rounds)
+def block_row(ids: np.ndarray, lengths: np.ndarray, doc_ids: list, block: int, terminals: int) -> dict:
+    symbols, rules, expansions = repair(ids, terminals)
     reach = np.cumsum(_sizes(symbols, expansions, terminals))
     starts = np.cumsum(lengths) - lengths
     first = np.searchsorted(reach, starts, side="right")
@@ -161,10 +166,31 @@ def block_row(ids: np.ndarray, lengths: np.ndarray, doc_ids: list, block: int, t
     }
 
 
+class Grammar:
+    """A block's rules, each expanded once."""
+
+    def __init__(self, row: dict):
+        self.terminals = row["terminals"]
+        self.sizes = np.frombuffer(row["expansions"], "<u4").astype(np.int64)
+        self.flat = expand(np.frombuffer(row["rules"], "<u4"), self._pairs(row), self.terminals)
+        self.starts = spans(self.sizes)[:-1]
+
+    @staticmethod
+    def _pairs(row: dict) -> np.ndarray:
+        return np.frombuffer(row["rules"], "<u4").reshape(-1, 2).astype(np.int64)
+
+    def ids(self, symbols: np.ndarray) -> np.ndarray:
+        inner = symbols >= self.terminals
+        sizes = _sizes(symbols, self.sizes, self.terminals)
+        out = np.repeat(symbols, sizes).astype(np.int64)
+        rule = symbols[inner] - self.terminals
+        out[np.repeat(inner, sizes)] = gather(self.flat, self.starts[rule], self.sizes[rule])
+        return out
+
+
 def decode_block(row: dict) -> np.ndarray:
     """All ids of a block."""
-    rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2).astype(np.int64)
-    return expand(np.frombuffer(row["symbols"], "<u4"), rules, row["terminals"])
+    return Grammar(row).ids(np.frombuffer(row["symbols"], "<u4").astype(np.int64))
 
 
 def decode_document(row: dict, i: int) -> np.ndarray:
@@ -197,26 +223,18 @@ _OUT = pa.schema(
 )
 
 
-def _encode(path: str, end_id: int, rounds: int):
+def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = pre_tokenizer(path)
-        codes = id_codes(path)
         terminals = max(tok.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices(batch, rows=4096):
-                codes.trim()
-                held: list[int] = []
-                ends = []
-                for text in texts_of(piece):
-                    held += map(codes.__getitem__, tok.tokens(text))
-                    ends.append(len(held))
-                runs, sizes = codes.runs(np.array(held, np.int64))
-                reach = np.r_[0, np.cumsum(sizes)][np.array(ends, np.int64)]
-                ids = np.insert(runs, reach, end_id)
-                lengths = np.diff(np.r_[0, reach]) + 1
+                runs, lengths = encode_texts(path, texts_of(piece))
+                ids = np.insert(runs, np.cumsum(lengths), end_id)
+                lengths = lengths + 1
                 docs = piece.column(piece.schema.get_field_index("doc_id")).to_pylist()
-                row = block_row(ids, lengths, docs, (task << 32) + number, terminals, rounds)
+                row = block_row(ids, lengths, docs, (task << 32) + number, terminals)
                 number += 1
                 yield pa.RecordBatch.from_pylist([row], schema=_OUT)
 
@@ -224,7 +242,7 @@ def _encode(path: str, end_id: int, rounds: int):
 
 
 def write_token_files(
-    documents: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, rounds: int = 3
+    documents: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID
 ) -> None:
     """Encode every whole text and write grammar-compressed blocks in ascending ``doc_id`` order.
 
@@ -239,7 +257,7 @@ def write_token_files(
         documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .repartitionByRange(n, "doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(_encode(path, end_id, rounds), SCHEMA)
+        .mapInArrow(_encode(path, end_id), SCHEMA)
         .write.parquet(folder)
     )
 

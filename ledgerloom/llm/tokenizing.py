@@ -1,4 +1,4 @@
-"""A public word-level BPE file, applied through the library once per distinct stretch of text."""
+"""Public BPE files, applied through the library once per distinct stretch of text."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ import json
 import re
 from functools import lru_cache
 
-from ledgerloom.llm.common import Codes
+import numpy as np
+
+from ledgerloom.llm.common import Codes, gather, spans
+from ledgerloom.llm.latin import WORDS, split_bytes, split_words
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -15,15 +18,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: The normalizer and pre-tokenizer of the file for which texts of Latin-1 letters have a faster way (fixed values).
-_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Latin-1 letters, numbers and white space after lower-casing.
-_L, _N, _S = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", rb"0-9\xb2\xb3\xb9\xbc-\xbe", rb"\x09-\x0d \x85\xa0"
-_LATIN = re.compile(
-    rb"'s|'t|'re|'ve|'m|'ll|'d|[" + _L + rb"]+|[" + _N + rb"]|[^" + _L + _N + _S + rb"]+"
-)
-_LOWER = bytes(ord(chr(b).lower()) for b in range(256))
+#: The normalizer for which lower-casing is all that happens to a text of Latin-1 letters (fixed values): such texts
+#: are composed already, and white space is dropped by the split.
+_FOLDS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
 
 
 class PreTokenizer:
@@ -46,13 +47,24 @@ class PreTokenizer:
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
         self.vocabulary = spec["model"]["vocab"]
-        parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.latin = (
-            [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])] == _NORMALIZERS
+        cutter = spec.get("pre_tokenizer") or {}
+        parts = cutter.get("pretokenizers", [])
+        self.split = None
+        if (
+            (spec.get("normalizer") or {}).get("normalizers") == _FOLDS
             and [x["type"] for x in parts] == ["Split", "ByteLevel"]
-            and parts[0]["pattern"] == {"Regex": _SPLIT}
+            and parts[0]["pattern"] == {"Regex": WORDS}
             and not parts[1]["add_prefix_space"]
-        )
+        ):
+            self.split = split_words
+        elif (
+            spec.get("normalizer") is None
+            and cutter.get("type") == "ByteLevel"
+            and cutter.get("use_regex")
+            and not cutter.get("add_prefix_space")
+        ):
+            self.split = split_bytes
+        self.marks = [name.encode() for name in names]
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = {chr(b): spell.pre_tokenize_str(chr(b))[0][0] for b in range(256)}
 
@@ -71,22 +83,53 @@ class PreTokenizer:
                     out.append(part)
         return out
 
-    def tokens(self, text: bytes) -> list[bytes | str]:
-        """The pre-tokens of a text in UTF-8."""
-        whole = text.decode("utf-8", "replace")
-        if self.latin and b"<|" not in text:
-            try:
-                return _LATIN.findall(whole.encode("latin-1").translate(_LOWER))
-            except UnicodeEncodeError:
-                pass
-        return self.pre(whole)
+    def latin(self, text: bytes) -> bytes | None:
+        """The text in Latin-1, if it can be cut there; None if the library has to cut it."""
+        if self.split is None or any(m in text for m in self.marks):
+            return None
+        if text.isascii():
+            return text
+        try:
+            return text.decode("utf-8", "replace").encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+
+    def pre_tokens(self, texts: list[bytes]) -> tuple[list[bytes | str], np.ndarray, np.ndarray]:
+        """Pre-tokens of texts in UTF-8: each different one once, its number at every place, and places per text."""
+        plain = [self.latin(t) for t in texts]
+        quick = np.array([p is not None for p in plain], bool)
+        counts = np.zeros(len(texts), np.int64)
+        names: list[bytes | str] = []
+        held = np.zeros(0, np.int64)
+        if quick.any():
+            found, counts[quick] = self.split([p for p in plain if p is not None])
+            distinct = found.dictionary_encode()
+            names = distinct.dictionary.to_pylist()
+            held = distinct.indices.to_numpy().astype(np.int64)
+        if not quick.all():
+            known: dict[str, int] = {}
+            slow = []
+            for t in (t for t, q in zip(texts, quick, strict=True) if not q):
+                parts = self.pre(t.decode("utf-8", "replace"))
+                slow.append([known.setdefault(p, len(names) + len(known)) for p in parts])
+            names += known
+            counts[~quick] = list(map(len, slow))
+            both = np.concatenate([held, *(np.array(x, np.int64) for x in slow)])
+            starts = np.zeros(len(texts), np.int64)
+            starts[quick] = spans(counts[quick])[:-1]
+            starts[~quick] = len(held) + spans(counts[~quick])[:-1]
+            held = gather(both, starts, counts)
+        return names, held, counts
 
     def spelled(self, token: bytes | str) -> str:
         """The same pre-token in the byte-level spelling."""
         if isinstance(token, str):
             return token
         word = token.decode("latin-1")
-        return word if word.isascii() else "".join(map(self.spelling.__getitem__, word))
+        # Control characters have a spelling of their own, as a blank has.
+        if word.isascii() and word.isprintable() and " " not in word:
+            return word
+        return "".join(map(self.spelling.__getitem__, word))
 
     def ids(self, token: bytes | str) -> list[int]:
         word = self.spelled(token)
@@ -117,4 +160,14 @@ def pre_tokenizer(path: str) -> PreTokenizer:
 @lru_cache(maxsize=2)
 def id_codes(path: str) -> Codes:
     """Ids of the pre-tokens this Python worker has met, kept from task to task."""
-    return Codes(pre_tokenizer(path).ids)
+    return Codes(pre_tokenizer(path).ids, most=600_000)
+
+
+def encode_texts(path: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts (UTF-8) one after another, and how many each has; no special tokens are added."""
+    tok, codes = pre_tokenizer(path), id_codes(path)
+    codes.trim()
+    names, held, counts = tok.pre_tokens(texts)
+    own = np.fromiter(map(codes.__getitem__, names), np.int64, len(names))
+    ids, sizes = codes.runs(own[held])
+    return ids, np.diff(spans(sizes)[spans(counts)])

@@ -69,7 +69,7 @@ def test_grammar_round_trip():
     for n, top in ((0, 5), (1, 5), (5_000, 3), (5_000, 400), (4_000, 1)):
         ids = rng.integers(0, top, n)
         lengths = np.array([n // 3, 0, n - n // 3])
-        row = token_files.block_row(ids, lengths, [1, 2, 3], 0, 500, 6)
+        row = token_files.block_row(ids, lengths, [1, 2, 3], 0, 500)
         assert (token_files.decode_block(row) == ids).all()
         ends = np.cumsum(lengths)
         for i in range(3):
@@ -270,3 +270,15 @@ def test_url_filter(spark):
     marks = spark.createDataFrame([(i, True) for i in range(20)], "page_id long, bad boolean")
     assert {r.verdict for r in url_filter(many, [], marks).collect()} == {"block"}
     assert url_filter(pages.limit(0)).count() == 0
+
+
+def test_grammar_is_as_deep_as_the_repeats():
+    """Rounds go on until no pair is frequent: a long repeat leaves few symbols, and no frequent pair."""
+    ids = np.tile(np.arange(8), 20_000)
+    symbols, rules, lengths = token_files.repair(ids, 100)
+    assert len(symbols) < 40 and lengths.max() >= 8_192
+    assert (token_files.expand(symbols, rules, 100) == ids).all()
+    rng = np.random.default_rng(8)
+    symbols, _, _ = token_files.repair(rng.integers(0, 30, 50_000), 100)
+    _, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+    assert counts.max() < token_files.LEAST
