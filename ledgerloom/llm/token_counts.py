@@ -87,7 +87,6 @@ def _bind(path: str, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _seen(path)
-        tokens = seen.tok.tokens
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices(batch):
@@ -95,14 +94,11 @@ def _bind(path: str, buckets: int):
                 number += 1
                 seen.trim()
                 texts = texts_of(piece)
-                held: list[int] = []
-                ends = [0]
-                for text in texts:
-                    held += map(seen.__getitem__, tokens(text))
-                    ends.append(len(held))
+                names, held, counts = seen.tok.pre_tokens(texts)
+                own = np.fromiter(map(seen.__getitem__, names), np.int64, len(names))
                 n = piece.num_rows
-                doc = np.repeat(np.arange(n), np.diff(ends))
-                key, times = np.unique((np.array(held, np.int64) << 32) | doc, return_counts=True)
+                doc = np.repeat(np.arange(n), counts)
+                key, times = np.unique((own[held] << 32) | doc, return_counts=True)
                 code, place = key >> 32, key & 0xFFFFFFFF
                 known = np.array(seen.known, np.int64)[code]
                 base = np.bincount(place, np.where(known < 0, 0, known * times), n).astype(np.int64)
