@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.functions.headers import HEADER_ALIASES
 from ledgerloom.functions.values import normalize_dates, parse_dates
 from ledgerloom.operators.combine import dedup_rows
 from ledgerloom.operators.project import drop_embedded_headers
@@ -38,8 +39,11 @@ def bordereaux_load(
     lines: Sequence[str] = LINES,
     years: Sequence[int] | None = None,
     repair: bool = True,
+    variant: str = "",
+    aliases: Mapping[str, str] = HEADER_ALIASES,
 ) -> DataFrame:
-    """Append the cleaned grid to a table partitioned by line; returns the whole table."""
-    cleaned = clean_bordereaux(grid_load(spark, root, lines, years), repair=repair)
+    """Append the cleaned grid (one variant of its files) to a table partitioned by line; returns the whole table."""
+    grid = grid_load(spark, root, lines, years, variant=variant, aliases=aliases)
+    cleaned = clean_bordereaux(grid, repair=repair)
     append_evolving(cleaned, table, ["line"])
     return parquet_evolving(spark, table)

@@ -251,6 +251,40 @@ def grid_load(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.withColumn("year", F.col("year").cast("bigint"))
 
 
+@query(
+    "grid_report",
+    """SELECT DISTINCT CASE l_linestatus WHEN 'O' THEN 'agricultural' ELSE 'crime' END AS line,
+CASE l_returnflag WHEN 'A' THEN 'deduped' ELSE '' END AS variant, CAST(year(l_shipdate) AS BIGINT) AS year,
+CASE WHEN l_linestatus = 'O' THEN 'line' WHEN l_returnflag = 'A' THEN 'variant' WHEN year(l_shipdate) > 1994 THEN 'year' END AS left_out
+FROM lineitem""",
+)
+def grid_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that look like those of a grid, and why some of them are not loaded."""
+    root = scratch_path(spark, "bronze")
+    year = F.year("l_shipdate")
+    variant = F.when(F.col("l_returnflag") == "A", "deduped-").otherwise("")
+    name = F.replace(file_name(F.col("l_linestatus"), GRID_LINES, year), F.lit("bordereaux-"), F.concat(F.lit("bordereaux-"), variant))
+    write_named(table(spark, folder, "lineitem").select("l_orderkey", name.alias("file")), root)
+    found = source.grid_files(spark, root, ["crime"], range(1990, 1995))
+    return found.select("line", "variant", F.col("year").cast("bigint").alias("year"), "left_out")
+
+
+@query(
+    "sheet_report",
+    """SELECT DISTINCT 'book ' || l_linestatus AS workbook, CASE l_returnflag WHEN 'A' THEN 'property' WHEN 'N' THEN 'fee' END AS line,
+CASE WHEN l_linestatus = 'O' THEN 'skipped' WHEN l_returnflag = 'R' THEN 'unknown' END AS left_out FROM lineitem""",
+)
+def sheet_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheets of workbooks, and why some of them are not routed to a line."""
+    root = scratch_path(spark, "workbooks")
+    sheet = F.element_at(F.create_map(*[F.lit(x) for x in ("A", "PROPERTY.csv", "N", "Fees.csv", "R", "Notes.csv")]), F.col("l_returnflag"))
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", F.concat(F.lit("book "), F.col("l_linestatus")).alias("book"), sheet.alias("file")
+    )
+    write_named(rows, root, "book", "file")
+    return source.sheet_files(spark, root, skip_words=("Book O",)).select("workbook", "line", "left_out")
+
+
 @query(
     "sheet_routing",
     """SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS policy_number, l_linestatus AS status,
@@ -271,7 +305,7 @@ def sheet_routing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_orderkey").alias("Policy #"), status.alias("Status"), F.explode(F.array_compact(F.array(*places))).alias("place")
     )
     write_named(rows.select("Policy #", "Status", "place.*"), root, "book", "file")
-    return source.consolidate_sheets(spark, root)
+    return source.consolidate_sheets(spark, root, skip_words=("epli",))
 
 
 @query(

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.headers import canonical_names, quoted
+from ledgerloom.functions.headers import HEADER_ALIASES, canonical_names, quoted
 from ledgerloom.functions.schemas import SchemaMismatch
 from ledgerloom.operators.combine import union_evolving
 from ledgerloom.operators.profile import file_listing
 from ledgerloom.operators.sizing import broadcast_if_few
+from ledgerloom.sources.records import FILE, csv_lines, csv_records, file_headers, parsed, plain_path, spans_lines
 
 CORRUPT = "_corrupt_record"
 # Partition directories whose newest runs are sent to every executor.
 MAX_BROADCAST_PARTITIONS = 1_000_000
-# A quoted field that starts and ends on its line.
-_CLOSED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
 
 def csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -26,16 +27,11 @@ def csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def records_span_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether some line can't be read apart from its neighbours with the same result.
+    """Whether some line can't be read apart from its neighbours with the same result (``spans_lines``).
 
-    Such a line holds a quote that is not part of a field closed on that line, a
-    bare carriage return, or nothing but blanks.  If there is none, every record
-    is one line and the files can be split.
+    If there is none, every record is one line and the files can be split.
     """
-    line = F.regexp_replace("value", r"\r\z", "")
-    rest = F.regexp_replace(line, _CLOSED_FIELD, "$1")
-    odd = rest.contains('"') | line.contains("\r") | line.rlike(r"\A\s+\z")
-    return not spark.read.option("lineSep", "\n").text(path).where(odd).isEmpty()
+    return not csv_lines(spark, path).where(spans_lines(F.col("line"))).isEmpty()
 
 
 def csv_robust(
@@ -47,27 +43,38 @@ def csv_robust(
 ) -> DataFrame:
     """All-text scan: line breaks in quoted fields, doubled quotes, bad lines kept.
 
-    A file with multi-line records cannot be split.  With ``multi_line=None``
-    inputs of any size are first checked in parallel for such records, and are
-    read in splits when there are none.  With ``corrupt`` the raw text of malformed lines is in ``_corrupt_record``.
+    With ``multi_line=None`` every file is first checked, in parallel, for records
+    that span lines: files without are read in splits, the lines of the others are
+    joined to records by many tasks (``csv_records``).  A file no larger than a split
+    is one task, as is one whose first line holds a bare carriage return, for it may end
+    its lines with those, as are all files with ``multi_line=True``, and with None those in
+    partition folders if a record spans lines.  With ``corrupt`` the raw text of malformed records is in ``_corrupt_record``.
     """
+    odd: list[tuple[str, bool]] = []
     if multi_line is None:
-        multi_line = records_span_lines(spark, path)
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-    )
-    if columns is not None and not corrupt:
-        return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns])).csv(path)
-    if not corrupt:
-        return reader.csv(path)
-    names = columns or reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        heads = file_headers(csv_lines(spark, path)).where("spanning")
+        odd = [(r.file, r.whole) for r in heads.select("file", "whole").collect()]
+        multi_line = bool(odd)
+
+    def scan(whole: bool, schema: T.StructType | None = None, **options: bool) -> DataFrame:
+        reader = spark.read.options(header=True, inferSchema=False, multiLine=whole, quote='"', escape='"', **options)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        return (reader if schema is None else reader.schema(schema)).csv(path)
+
+    if columns is None and not corrupt and not odd:
+        return scan(multi_line)
+    names = list(columns or scan(multi_line).columns)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([CORRUPT] if corrupt else [])]])
+    if not odd or columns is None and len(scan(True, recursiveFileLookup=True).columns) < len(names):
+        return scan(multi_line, schema)
+    file = F.col(FILE)
+    scans = [scan(False, schema).where(~file.isin([f for f, _ in odd]))]
+    if joined := [f for f, whole in odd if not whole]:
+        records = csv_records(csv_lines(spark, path, file.isin(joined)))
+        scans.append(parsed(records, names, CORRUPT if corrupt else None).where("number > 0").drop("file", "number"))
+    if single := [f for f, whole in odd if whole]:
+        scans.append(scan(True, schema).where(file.isin(single)))
+    return reduce(DataFrame.unionAll, scans)
 
 
 def csv_header(spark: SparkSession, path: str | list[str]) -> tuple[str | None, ...]:
@@ -175,9 +182,10 @@ SUBJECT_WORDS = {
 BOOK_PREFIXES = ("", "Programs_", "Partner_")
 
 
-def landing_file_name(
-    subject: str, suffix: str, prefix: str = "", pattern: str = "FEED_{prefix}{word}_LAND_{suffix}.CSV"
-) -> str:
+LANDING_PATTERN = "FEED_{prefix}{word}_LAND_{suffix}.CSV"
+
+
+def landing_file_name(subject: str, suffix: str, prefix: str = "", pattern: str = LANDING_PATTERN) -> str:
     return pattern.format(prefix=prefix, word=SUBJECT_WORDS[subject], suffix=suffix)
 
 
@@ -203,10 +211,15 @@ def _segment(place: int) -> Column:
 
 
 def landing_choice(
-    spark: SparkSession, folder: str, subject: str, suffix: str, books: Sequence[str] = BOOK_PREFIXES
+    spark: SparkSession,
+    folder: str,
+    subject: str,
+    suffix: str,
+    books: Sequence[str] = BOOK_PREFIXES,
+    pattern: str = LANDING_PATTERN,
 ) -> DataFrame:
     """The preferred landing file of a subject and month: at most one row."""
-    rank = {landing_file_name(subject, suffix, b): i for i, b in enumerate(books)}
+    rank = {landing_file_name(subject, suffix, b, pattern): i for i, b in enumerate(books)}
     pairs = [F.lit(x) for item in rank.items() for x in item]
     wanted = (
         named_files(spark, folder)
@@ -216,8 +229,15 @@ def landing_choice(
     return wanted.orderBy("preference", "path").limit(1)
 
 
-def landing_file(spark: SparkSession, folder: str, subject: str, suffix: str, books: Sequence[str] = BOOK_PREFIXES) -> str:
-    row = landing_choice(spark, folder, subject, suffix, books).first()
+def landing_file(
+    spark: SparkSession,
+    folder: str,
+    subject: str,
+    suffix: str,
+    books: Sequence[str] = BOOK_PREFIXES,
+    pattern: str = LANDING_PATTERN,
+) -> str:
+    row = landing_choice(spark, folder, subject, suffix, books, pattern).first()
     if row is None:
         raise FileNotFoundError(f"no {subject} file for {suffix} in {folder}")
     return row["path"]
@@ -241,46 +261,80 @@ LINES = (
 )
 
 
+# <line>-bordereaux-<year>.csv, or with a variant between the two.
+GRID_NAME = r"^([^-]+)-bordereaux(?:-(.+))?-(\d{4})\.csv$"
+# A file, or the directory of part files that counts as one.
+_PART = r"/part-[^/]+$"
+
+
 def grid_files(
-    spark: SparkSession, root: str, lines: Sequence[str], years: Sequence[int] | None
-) -> list[tuple[str, int, str, int]]:
-    """(path, size, line, year) of the files a grid of lines and years names and that exist."""
-    name = F.col("name")
-    parts = r"^([^-]+)-bordereaux.*?-(\d{4})\.csv$"
-    rows = (
+    spark: SparkSession,
+    root: str,
+    lines: Sequence[str] = LINES,
+    years: Sequence[int] | None = None,
+    variant: str = "",
+) -> DataFrame:
+    """``path, length, line, variant, year, left_out``: the files that look like those of a grid of lines and years.
+
+    ``left_out`` says why a file is not one that the grid names (``name``, ``line``,
+    ``variant`` or ``year``); NULL for those it names.  Line and variant must be
+    spelled as asked for.
+    """
+    part = lambda i: F.regexp_extract("name", GRID_NAME, i)
+    year = part(3).try_cast("int")
+    wanted = F.col("year").isin(*years) if years is not None else F.lit(True)
+    reason = (
+        F.when(F.col("year").isNull(), "name")
+        .when(~F.col("line").isin(*lines), "line")
+        .when(F.col("variant") != variant, "variant")
+        .when(~wanted, "year")
+    )
+    return (
         named_files(spark, root)
-        .select(
-            "path",
-            "length",
-            F.regexp_extract(name, parts, 1).alias("line"),
-            F.regexp_extract(name, parts, 2).try_cast("int").alias("year"),
-        )
-        .where(F.col("line").isin(*lines) & (F.col("year").isin(*years) if years is not None else F.col("year").isNotNull()))
-        .orderBy("line", "year", "path")
-        .collect()
+        .where(F.col("name").rlike("(?i)bordereaux"))
+        .select("path", "length", part(1).alias("line"), part(2).alias("variant"), year.alias("year"))
+        .withColumn("left_out", reason)
     )
-    return [(r["path"], r["length"], r["line"], r["year"]) for r in rows]
 
 
-def _scan_by_header(spark: SparkSession, files: Sequence[tuple[str, int, str]], multi_line: bool | None) -> list[DataFrame]:
-    """One scan per line and header over (path, size, line) files, with ``line`` and ``__path``.
+def _scan_by_header(
+    spark: SparkSession, root: str, paths: Sequence[str], aliases: Mapping[str, str], multi_line: bool | None = None
+) -> list[DataFrame]:
+    """Scans of all files, one per header and way of reading, with canonical names and the ``__path`` of the rows.
 
-    Files of a line usually share their header for years, so the plan grows
-    with the number of different headers and not with the number of files.
+    One pass over the lines finds all headers and which files have records that span
+    lines; the driver gets each different header once.  The plan grows with the
+    number of different headers and not with that of the files.
     """
-    groups: dict[tuple[str, tuple[str | None, ...]], list[str]] = {}
-    for path, _, line in files:
-        groups.setdefault((line, csv_header(spark, path)), []).append(path)
+    taken = F.regexp_replace(plain_path(F.col(FILE)), _PART, "").isin(*paths)
+    groups = (
+        file_headers(csv_lines(spark, root, taken))
+        .where("header IS NOT NULL")
+        .groupBy("header", "open_header", "spanning", "whole")
+        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+        .collect()
+    )
+    found = [(g.header, g.files, g.spanning, g.whole) for g in groups if not g.open_header]
+    if spread := [f for g in groups if g.open_header for f in g.files]:
+        first = csv_records(csv_lines(spark, root, F.col(FILE).isin(spread))).where("number = 0")
+        same = first.groupBy("record").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+        found += [(r.record, r.files, True, False) for r in same]
     scans = []
-    for (line, header), paths in groups.items():
-        places = [f"_c{i}" for i in range(len(header))]
-        raw = csv_robust(spark, paths, multi_line, columns=places)
-        named = raw.select(
-            *[F.col(c).alias(n) for c, n in zip(places, canonical_names(header))],
-            F.lit(line).alias("line"),
-            F.col("_metadata.file_path").alias("__path"),
-        )
-        scans.append(named)
+    for header, files, spanning, whole in sorted(found, key=lambda g: g[1]):
+        cells = next(csv.reader([header if "\n" in header else header.split("\r")[0]]))
+        places = [f"_c{i}" for i in range(len(cells))]
+        file = F.col(FILE)
+        spanning = spanning if multi_line is None else multi_line
+        if spanning and not whole:
+            rows = parsed(csv_records(csv_lines(spark, root, file.isin(files))), places).where("number > 0")
+            path = plain_path("file")
+        else:
+            reader = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in places]))
+            reader = reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", spanning)
+            rows = reader.option("recursiveFileLookup", True).csv(root).where(file.isin(files))
+            path = plain_path(file)
+        names = canonical_names(cells, dict(aliases))
+        scans.append(rows.select(*[F.col(c).alias(n) for c, n in zip(places, names)], path.alias("__path")))
     return scans
 
 
@@ -290,15 +344,22 @@ def grid_load(
     lines: Sequence[str] = LINES,
     years: Sequence[int] | None = None,
     multi_line: bool | None = None,
+    variant: str = "",
+    aliases: Mapping[str, str] = HEADER_ALIASES,
 ) -> DataFrame:
-    """All files of the grid as one frame with ``line`` and ``year`` (all years unless some are asked for), headers made canonical."""
-    files = [(path, size, line) for path, size, line, _ in grid_files(spark, root, lines, years)]
-    if not files:
+    """All files of the grid as one frame with ``line`` and ``year`` (all years unless some are asked for), headers made canonical.
+
+    One variant is loaded: by default the files without one.  ``grid_files`` reports
+    the files that were left out.  With ``multi_line=None`` each file is checked for
+    records that span lines.
+    """
+    wanted = grid_files(spark, root, lines, years, variant).where("left_out IS NULL").select("path").collect()
+    if not wanted:
         raise FileNotFoundError(f"no file of the grid in {root}")
-    year = F.regexp_extract("__path", r"-(\d{4})\.csv(?:/part-[^/]*)?$", 1).cast("int")
-    return union_evolving(
-        [scan.withColumn("year", year).drop("__path") for scan in _scan_by_header(spark, files, multi_line)]
-    )
+    scans = _scan_by_header(spark, root, sorted(r.path for r in wanted), aliases, multi_line)
+    name = F.regexp_replace(F.element_at(F.split(F.regexp_replace("__path", _PART, ""), "/"), -1), "^[^=]*=", "")
+    line, year = F.regexp_extract(name, GRID_NAME, 1), F.regexp_extract(name, GRID_NAME, 3).cast("int")
+    return union_evolving([s.withColumns({"line": line, "year": year}).drop("__path") for s in scans])
 
 
 # Sheet name -> line.
@@ -319,29 +380,43 @@ SHEET_LINES = {
 }
 
 
-def sheet_files(spark: SparkSession, root: str, skip_words: Sequence[str] = ("epli",)) -> DataFrame:
-    """Sheet exports (``<workbook>/<sheet>.csv``) with their line.
+def _sheet_line(name: str | Column) -> Column:
+    pairs = [F.lit(x) for item in SHEET_LINES.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), F.lower(F.regexp_replace(name, r"(?i)\.csv$", "")))
+
+
+def sheet_files(spark: SparkSession, root: str, skip_words: Sequence[str] = ()) -> DataFrame:
+    """``path, length, workbook, line, left_out``: sheet exports (``<workbook>/<sheet>.csv``) with their line.
 
-    Temporary workbooks (``~$``), skipped workbooks and unknown sheets are left out.
+    ``left_out`` says why a sheet is not routed: its workbook is ``temporary`` (``~$``) or
+    ``skipped`` (its name holds a word to skip), or the sheet is ``unknown``.
     """
-    pairs = [F.lit(x) for item in SHEET_LINES.items() for x in item]
-    sheet = F.lower(F.regexp_replace("name", r"(?i)\.csv$", ""))
-    files = named_files(spark, root).select(
-        "path",
-        "length",
-        _segment(-2).alias("workbook"),
-        F.try_element_at(F.create_map(*pairs), sheet).alias("line"),
-    )
-    skipped = F.col("workbook").contains("~$")
+    skipped = F.lit(False)
     for word in skip_words:
-        skipped = skipped | F.lower("workbook").contains(word)
-    return files.where(~skipped & F.col("line").isNotNull())
+        skipped = skipped | F.lower("workbook").contains(word.lower())
+    reason = (
+        F.when(F.col("workbook").contains("~$"), "temporary")
+        .when(skipped, "skipped")
+        .when(F.col("line").isNull(), "unknown")
+    )
+    return (
+        named_files(spark, root)
+        .where(F.lower("name").endswith(".csv"))
+        .select("path", "length", _segment(-2).alias("workbook"), _sheet_line("name").alias("line"))
+        .withColumn("left_out", reason)
+    )
+
 
+def consolidate_sheets(
+    spark: SparkSession, root: str, skip_words: Sequence[str] = (), aliases: Mapping[str, str] = HEADER_ALIASES
+) -> DataFrame:
+    """All rows of the routed sheets, by column name, with their line; copies dropped.
 
-def consolidate_sheets(spark: SparkSession, root: str, skip_words: Sequence[str] = ("epli",)) -> DataFrame:
-    """All rows of the routed sheets, by column name, with their line; copies dropped."""
-    rows = sheet_files(spark, root, skip_words).orderBy("line", "path").collect()
-    if not rows:
+    ``sheet_files`` reports the sheets that were left out.
+    """
+    wanted = sheet_files(spark, root, skip_words).where("left_out IS NULL").select("path").collect()
+    if not wanted:
         raise FileNotFoundError(f"no known sheet in {root}")
-    scans = _scan_by_header(spark, [(r["path"], r["length"], r["line"]) for r in rows], None)
-    return union_evolving([scan.drop("__path") for scan in scans]).dropDuplicates()
+    scans = _scan_by_header(spark, root, sorted(r.path for r in wanted), aliases)
+    name = F.regexp_replace(F.element_at(F.split(F.regexp_replace("__path", _PART, ""), "/"), -1), "^[^=]*=", "")
+    return union_evolving([s.withColumn("line", _sheet_line(name)).drop("__path") for s in scans]).dropDuplicates()

@@ -120,6 +120,8 @@ def test_landing_preference(spark, folder):
     assert pick("20241130") == "FEED_CLAIM_LAND_20241130.CSV"
     with pytest.raises(FileNotFoundError):
         pick("20240101")
+    own = S.landing_file(spark, folder, "claims", "20241231", pattern="FEED_Partner_{word}{prefix}_LAND_{suffix}.CSV")
+    assert own.endswith("FEED_Partner_CLAIM_LAND_20241231.CSV")
 
 
 def test_grid_ignores_other_files(spark, folder):
@@ -128,10 +130,22 @@ def test_grid_ignores_other_files(spark, folder):
     write(f"{folder}/2020/crime-bordereaux-special-2020.csv", "Policy #\n3\n")
     write(f"{folder}/2019/unknown-bordereaux-2019.csv", "Policy #\n4\n")
     write(f"{folder}/2018/crime-bordereaux-2018.csv", "Policy #\n5\n")
-    got = S.grid_load(spark, folder, ["crime"], [2019, 2020])
-    assert sorted((r["policy_number"], r["year"]) for r in got.collect()) == [("1", 2019), ("2", 2019), ("3", 2020)]
+    write(f"{folder}/2019/Crime-bordereaux-2020.CSV", "Policy #\n6\n")
+    got = lambda **k: sorted((r["policy_number"], r["year"]) for r in S.grid_load(spark, folder, ["crime"], **k).collect())
+    assert got(years=[2019, 2020]) == [("1", 2019)]
+    assert got() == [("1", 2019), ("5", 2018)]
+    assert got(variant="deduped") == [("2", 2019)]
     with pytest.raises(FileNotFoundError):
         S.grid_load(spark, folder, ["crime"], [2011])
+    seen = S.grid_files(spark, folder, ["crime"], [2019, 2020]).collect()
+    assert sorted((r.path.rsplit("/", 1)[-1], r.left_out or "") for r in seen) == [
+        ("Crime-bordereaux-2020.CSV", "name"),
+        ("crime-bordereaux-2018.csv", "year"),
+        ("crime-bordereaux-2019.csv", ""),
+        ("crime-bordereaux-deduped-2019.csv", "variant"),
+        ("crime-bordereaux-special-2020.csv", "variant"),
+        ("unknown-bordereaux-2019.csv", "line"),
+    ]
 
 
 def test_repeated_and_missing_headers_keep_their_place(spark, folder):
@@ -144,9 +158,21 @@ def test_repeated_and_missing_headers_keep_their_place(spark, folder):
 def test_sheets_can_keep_a_skipped_workbook(spark, folder):
     for book, sheet in (("EPLI 2020", "EPLI"), ("~$b", "Crime"), ("b", "Equipment Breakdown"), ("b", "Notes"), ("b", "EXCESS")):
         write(f"{folder}/{book}/{sheet}.csv", f"Policy #\n{book}{sheet}\n")
-    lines = lambda *a: sorted(r["line"] for r in S.sheet_files(spark, folder, *a).collect())
-    assert lines() == ["equipment_breakdown", "umbrella"]
-    assert lines(()) == ["epli", "equipment_breakdown", "umbrella"]
+    routed = lambda *a: S.sheet_files(spark, folder, *a).where("left_out IS NULL").collect()
+    assert sorted(r["line"] for r in routed(["epli"])) == ["equipment_breakdown", "umbrella"]
+    assert sorted(r["line"] for r in routed()) == ["epli", "equipment_breakdown", "umbrella"]
+    left = S.sheet_files(spark, folder, ["epli"]).where("left_out IS NOT NULL").collect()
+    assert sorted((r["workbook"], r["left_out"]) for r in left) == [
+        ("EPLI 2020", "skipped"),
+        ("b", "unknown"),
+        ("~$b", "temporary"),
+    ]
+    rows_ = S.consolidate_sheets(spark, folder, aliases={"Policy #": "policy"}).collect()
+    assert sorted((r["policy"], r["line"]) for r in rows_) == [
+        ("EPLI 2020EPLI", "epli"),
+        ("bEXCESS", "umbrella"),
+        ("bEquipment Breakdown", "equipment_breakdown"),
+    ]
 
 
 def test_bordereaux_load_grows_by_columns_and_repairs(spark, folder):
