@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, fold, slices, texts_of, words
+from ledgerloom.llm.common import Codes, at_hand, fold, slices, stored, texts_of, words
 
 #: Bounds of the sample that the model is fitted on, and features that it keeps.
 SAMPLE_POSITIVE = 4_000
@@ -59,7 +59,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held.update(f)
                 found.append(sorted(held))
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(found, pa.list_(pa.int32()))], names=["positive", "features"]
+                [piece.column(0), piece.column(2), pa.array(found, pa.list_(pa.int32()))],
+                names=["positive", "doc_id", "features"],
             )
 
 
@@ -99,14 +100,37 @@ def fit_nnpu(
     return w, float(b)
 
 
+def _chosen_features(sample: DataFrame, n_p: int, n_u: int) -> list[int]:
+    """Features that mark positive texts most, and some that mark unlabelled ones, by the difference of their shares."""
+    holds = sample.select("positive", F.explode("features").alias("feature"))
+    counts = holds.groupBy("feature").agg(
+        F.count_if("positive").alias("c_p"), F.count_if(~F.col("positive")).alias("c_u")
+    )
+    p, u = F.col("c_p") / n_p, F.col("c_u") / n_u
+    both = (F.col("c_p") + F.col("c_u")) / (n_p + n_u)
+    spread = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * (1 / n_p + 1 / n_u))
+    rated = counts.select("feature", ((p - u) / spread).alias("z"))
+    # As many rows as the model has features.
+    more = rated.where("z > 2").orderBy(F.desc("z"), "feature").limit(FEATURES // 2)
+    less = rated.orderBy("z", "feature").limit(FEATURES // 8)
+    return [r.feature for r in more.union(less).select("feature").distinct().orderBy("feature").collect()]
+
+
 def learn(documents: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
     """Fit on a bounded sample of the documents: at most ``SAMPLE_POSITIVE`` confirmed toxic ones and
-    ``SAMPLE_UNLABELLED`` of all, those with the least hash of their ids.
+    ``SAMPLE_UNLABELLED`` of all, those with the least hash of their ids.  Of several rows of an id the one with
+    the least text is in the sample.
+
+    The features of the sample are counted and chosen by Spark; the driver gets those of each text that the
+    model has, at most ``FEATURES``, whatever the length of the texts.
 
     ``prior``: share of toxic texts; by default that of the labelled ones.
     """
     at_hand(documents.sparkSession)
-    ids = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"))
+    rows = documents.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    ids = rows.select("doc_id").distinct()
     marks = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -117,41 +141,34 @@ def learn(documents: DataFrame, labels: DataFrame, prior: float | None = None) -
         row = marked.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()
         prior = row["p"] or 0.0
     order = F.xxhash64("doc_id")
+    positives = marked.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
+    unlabelled = ids.select("doc_id", F.lit(False).alias("positive"))
     chosen = (
-        marked.where("toxic = 1").select("doc_id", F.lit(True).alias("positive")).orderBy(order, "doc_id").limit(SAMPLE_POSITIVE)
-    ).unionAll(ids.select("doc_id", F.lit(False).alias("positive")).orderBy(order, "doc_id").limit(SAMPLE_UNLABELLED))
-    sample = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        positives.orderBy(order, "doc_id")
+        .limit(SAMPLE_POSITIVE)
+        .unionAll(unlabelled.orderBy(order, "doc_id").limit(SAMPLE_UNLABELLED))
+    )
+    sample = stored(
         # At most SAMPLE_POSITIVE + SAMPLE_UNLABELLED ids.
-        .join(F.broadcast(chosen), "doc_id")
+        rows.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "positive")
+        .agg(F.min("text").alias("text"))
         .select("positive", "text", "doc_id")
-        .mapInArrow(_featured, "positive boolean, features array<int>")
-        .toArrow()
+        .mapInArrow(_featured, "positive boolean, doc_id long, features array<int>"),
+        "toxicity-sample",
     )
-    positive = sample["positive"].to_numpy(zero_copy_only=False).astype(bool) if len(sample) else np.zeros(0, bool)
-    if not positive.any() or positive.all() or not 0 < prior < 1:
+    n_p, n_u = sample.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+    if not n_p or not n_u or not 0 < prior < 1:
         return Model({}, -10.0 if prior < 1 else 10.0)
-    lists = sample["features"].combine_chunks()
+    kept = _chosen_features(sample, n_p, n_u)
+    held = F.array_intersect("features", F.lit(np.array(kept, np.int32)))
+    table = sample.select("positive", "doc_id", held.alias("features")).orderBy("positive", "doc_id").toArrow()
+    positive = table["positive"].to_numpy(zero_copy_only=False).astype(bool)
+    lists = table["features"].combine_chunks()
     lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = lists.flatten().to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    # The rows come in any order; an order by content gives the same model every time.
-    key = np.array([zlib.crc32(flat[e - n : e].tobytes()) for e, n in zip(np.cumsum(lengths), lengths, strict=True)])
-    held = positive[row]
-    n_p, n_u = positive.sum(), (~positive).sum()
-    count_p = np.bincount(flat[held], minlength=1 << _BITS)
-    count_u = np.bincount(flat[~held], minlength=1 << _BITS)
-    p, u, both = count_p / n_p, count_u / n_u, (count_p + count_u) / (n_p + n_u)
-    z = (p - u) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n_p + 1 / n_u))
-    kept = np.argsort(-z, kind="stable")[: FEATURES // 2]
-    kept = np.union1d(kept[z[kept] > 2], np.argsort(z, kind="stable")[: FEATURES // 8])
-    place = np.full(1 << _BITS, -1)
-    place[kept] = np.arange(len(kept))
     x = np.zeros((len(lengths), len(kept)), np.float32)
-    use = place[flat] >= 0
-    x[row[use], place[flat[use]]] = 1
-    order_p, order_u = (np.flatnonzero(s)[np.argsort(key[s], kind="stable")] for s in (positive, ~positive))
-    w, b = fit_nnpu(x[order_p], x[order_u], prior)
+    x[np.repeat(np.arange(len(lengths)), lengths), np.searchsorted(kept, lists.flatten().to_numpy())] = 1
+    w, b = fit_nnpu(x[positive], x[~positive], prior)
     return Model({int(f): float(a) for f, a in zip(kept, w, strict=True)}, b)
 
 

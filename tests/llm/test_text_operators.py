@@ -282,3 +282,39 @@ def test_grammar_is_as_deep_as_the_repeats():
     symbols, _, _ = token_files.repair(rng.integers(0, 30, 50_000), 100)
     _, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
     assert counts.max() < token_files.LEAST
+
+
+def toxic_table(spark, copies=1):
+    rng = np.random.default_rng(9)
+    calm, rude = [f"calm{i}" for i in range(300)], [f"rude{i}" for i in range(40)]
+    docs, marks = [], []
+    for i in range(900):
+        bad = i % 6 == 0
+        words = [*rng.choice(calm, 40), *(rng.choice(rude, 12) if bad else [])]
+        docs.append((i, " ".join(rng.permutation(words))))
+        marks.append((i, int(bad) if i % 2 == 0 else None))
+    docs += [(None, "rude1 rude2 rude3"), (5_000, None), (5_001, "")]
+    schema = "doc_id long, text string, positive string, features string"
+    return (
+        spark.createDataFrame([(*d, "x", "y") for d in docs for _ in range(copies)], schema),
+        spark.createDataFrame(marks, "doc_id long, toxic int"),
+    )
+
+
+def test_toxic_documents_are_found(spark):
+    """Held-out documents, labelled or not."""
+    docs, labels = toxic_table(spark)
+    got = toxicity(docs, labels).collect()
+    held = [r for r in got if r.held_out and r.doc_id < 900]
+    assert len(held) > 100 and len(got) == docs.count()
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in held) >= 0.97 * len(held)
+    assert all(r.predicted == 0 for r in got if r.doc_id in (5_000, 5_001))
+
+
+def test_copies_of_rows_teach_toxicity_nothing(spark):
+    once = {r.doc_id: r.score for r in toxicity(*toxic_table(spark)).collect()}
+    often = toxicity(*toxic_table(spark, 3)).collect()
+    assert len(often) == 3 * len(once) and all(abs(r.score - once[r.doc_id]) < 1e-9 for r in often)
+    docs, labels = toxic_table(spark)
+    assert toxicity(docs.limit(0), labels).count() == 0
+    assert {r.predicted for r in toxicity(docs, labels.limit(0)).collect()} == {0}
