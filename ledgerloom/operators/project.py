@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,14 +34,19 @@ def filter_where(df: DataFrame, condition: str | None) -> DataFrame:
 def full_query(df: DataFrame, query: str, name: str = "dataset") -> DataFrame:
     """A whole SQL query over the frame, which it calls ``dataset``.
 
-    The view exists only while the text is analyzed, so no name outlives the call.
+    The name is bound inside the text alone: a view of that name that the user has
+    is neither read nor replaced, and calls at once don't meet.  ``dataset`` has to be
+    free as a name of the query's own common table expressions.
     """
     spark = df.sparkSession
-    df.createOrReplaceTempView(name)
-    try:
-        return spark.sql(query.strip().rstrip(";"))
-    finally:
-        spark.catalog.dropTempView(name)
+    text = query.strip().rstrip(";")
+    # A frame given to a query is bound by a name that nobody else knows, while its text is analyzed.
+    parts = text.replace("{", "{{").replace("}", "}}")
+    bound = f"WITH {quoted(name)} AS (SELECT * FROM {{{name}}}) "
+    start = re.match(r"(?is)((?:\s|--[^\n]*\n|/\*.*?\*/)*)with\s+", parts)
+    if start is None:
+        return spark.sql(bound + parts, **{name: df})
+    return spark.sql(parts[: start.end()] + bound.removeprefix("WITH ").rstrip() + ", " + parts[start.end() :], **{name: df})
 
 
 def expression_column(df: DataFrame, expression: str, name: str) -> DataFrame:

@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import upper_headers
-from ledgerloom.functions.schemas import describe_columns
 from ledgerloom.functions.values import blank_for_null, stringified
 from ledgerloom.operators.profile import key_check, rowcount_status
 from ledgerloom.operators.project import filter_where, full_query, project
 from ledgerloom.plans.status import JobResult
-from ledgerloom.sinks.tables import overwrite
+from ledgerloom.sinks.versions import publish, read_current
 from ledgerloom.sources.files import latest_runs
 
 FULL_QUERY = "FULL_QUERY"
@@ -41,19 +40,27 @@ def publish_selection_set(
 ) -> JobResult:
     """Snapshot the newest runs of a dataset as text.
 
-    With the columns of an earlier snapshot (a refresh) they must be the same.
+    With the columns of an earlier snapshot (a refresh) they must be the same.  The
+    rows are computed once: keys are checked as written, before the snapshot counts.
+    Readers use ``read_current``.
     """
     rows = select_rows(latest_runs(spark, dataset), columns, conditions, query_type)
     if earlier is not None and set(earlier) != set(rows.columns):
         return JobResult("ERROR", "Mismatched columns")
-    if key and not key_check(rows, key).first()["is_unique"]:
-        return JobResult("ERROR", f"Provided Primary Key: {list(key)} is not unique in this dataset.")
-    overwrite(stringified(rows), output)
-    return JobResult("OK", data=spark.read.parquet(output))
+
+    def not_unique(written: DataFrame) -> str | None:
+        if key and not key_check(written, key).first()["is_unique"]:
+            return f"Provided Primary Key: {list(key)} is not unique in this dataset."
+        return None
+
+    reason, n = publish(stringified(rows), output, check=not_unique)
+    if reason is not None:
+        return JobResult("ERROR", reason)
+    return JobResult("OK", row_cnt=n, data=read_current(spark, output))
 
 
 def refresh_selection_set(spark: SparkSession, dataset: str, output: str, **arguments) -> JobResult:
-    return publish_selection_set(spark, dataset, output, earlier=spark.read.parquet(output).columns, **arguments)
+    return publish_selection_set(spark, dataset, output, earlier=read_current(spark, output).columns, **arguments)
 
 
 def create_definition(
@@ -64,9 +71,8 @@ def create_definition(
     conditions: str | None = None,
 ) -> JobResult:
     """Distinct rows of a selection set, blank for NULL (a source takes no conditions)."""
-    rows = filter_where(project(spark.read.parquet(selection_set), columns), conditions)
-    overwrite(blank_for_null(rows.distinct()), output)
-    return _stored(spark, output)
+    rows = filter_where(project(read_current(spark, selection_set), columns), conditions)
+    return _published(blank_for_null(rows.distinct()), output)
 
 
 def refresh_definition(
@@ -77,16 +83,15 @@ def refresh_definition(
     conditions: str | None = None,
 ) -> JobResult:
     """Store a definition again; blanks are filled before the filter sees the rows."""
-    rows = filter_where(blank_for_null(project(spark.read.parquet(selection_set), columns)), conditions)
-    if set(rows.columns) != set(spark.read.parquet(output).columns):
+    rows = filter_where(blank_for_null(project(read_current(spark, selection_set), columns)), conditions)
+    if set(rows.columns) != set(read_current(spark, output).columns):
         return JobResult("INVALID", "columns in both source data do not match.")
-    overwrite(rows, output)
-    return _stored(spark, output)
+    return _published(rows, output)
 
 
-def _stored(spark: SparkSession, path: str) -> JobResult:
-    data = spark.read.parquet(path)
-    return JobResult("VALID", "", data.count(), data)
+def _published(rows: DataFrame, output: str) -> JobResult:
+    _, n = publish(rows, output)
+    return JobResult("VALID", "", n, read_current(rows.sparkSession, output))
 
 
 def target_values(definition: DataFrame, columns: Sequence[str] | str | None, conditions: str | None, rows: int = 100) -> DataFrame:
@@ -100,10 +105,5 @@ def coverage(definition: DataFrame) -> DataFrame:
     return definition.distinct().agg(F.count(F.lit(1)).alias("row_cnt"))
 
 
-def exposed_columns(dataset: DataFrame, query: str | None = None) -> DataFrame:
-    """Column definitions of a dataset or of a query over it."""
-    return describe_columns(full_query(dataset, query) if query else dataset)
-
-
 def exposed_rowcount(dataset: DataFrame, conditions: str | None = None) -> DataFrame:
     return rowcount_status(filter_where(dataset, conditions))

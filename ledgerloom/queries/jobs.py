@@ -24,6 +24,8 @@ from ledgerloom.queries.files import RUNS_SQL, file_name, write_named, write_run
 from ledgerloom.queries.registry import day, query, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sink
+from ledgerloom.plans.status import JobResult
+from ledgerloom.sinks.versions import read_current
 from ledgerloom.sources.files import csv_robust, landing_file_name
 
 LATEST_SQL = f"""WITH {RUNS_SQL}, latest AS (SELECT * FROM runs
@@ -103,6 +105,31 @@ def mapdef_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return refresh_definition(spark, selection, output, "P_BRAND,P_TYPE", conditions).data
 
 
+@query(
+    "job_status",
+    """SELECT 'VALID KEY' AS job, 'OK' AS status, '' AS status_desc, count(*) AS row_cnt FROM nation
+UNION ALL SELECT 'REPEATED KEY', 'ERROR', 'Provided Primary Key: [''N_REGIONKEY''] is not unique in this dataset.', NULL
+UNION ALL SELECT 'OTHER COLUMNS', 'ERROR', 'Mismatched columns', NULL
+UNION ALL SELECT 'DEFINITION', 'VALID', '', count(DISTINCT n_regionkey) FROM nation
+UNION ALL SELECT 'OTHER DEFINITION', 'INVALID', 'columns in both source data do not match.', NULL
+UNION ALL SELECT 'KEPT', 'OK', '', count(*) FROM nation""",
+)
+def job_status(spark: SparkSession, folder: str) -> DataFrame:
+    """What jobs report: rows published, a key that repeats, columns that differ; a refused set leaves the former one."""
+    path, output, definition = (scratch_path(spark, n) for n in ("nations", "selection", "definition"))
+    sink.overwrite(table(spark, folder, "nation").select("n_name", "n_regionkey"), path)
+    results = {
+        "VALID KEY": publish_selection_set(spark, path, output, key=["N_NAME"]),
+        "REPEATED KEY": publish_selection_set(spark, path, output, key=["N_REGIONKEY"]),
+        "OTHER COLUMNS": refresh_selection_set(spark, path, output, columns="N_NAME"),
+        "DEFINITION": create_definition(spark, output, definition, "N_REGIONKEY"),
+        "OTHER DEFINITION": refresh_definition(spark, output, definition, "N_NAME"),
+        "KEPT": JobResult("OK", row_cnt=read_current(spark, output).count()),
+    }
+    rows = [(job, r.status, r.status_desc, r.row_cnt) for job, r in results.items()]
+    return spark.createDataFrame(rows, "job string, status string, status_desc string, row_cnt bigint")
+
+
 # --- rules --------------------------------------------------------------------------
 
 

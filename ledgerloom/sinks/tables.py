@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import quoted
@@ -24,7 +23,8 @@ def overwrite_self(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """Replace a table that the frame may read.
 
     The new rows are written beside it and the directories are swapped, so the
-    plan keeps its input until the new table is complete.
+    plan keeps its input until the new table is complete.  Between the two renames
+    there is no table at the path; ``versions.publish`` has no such moment.
     """
     path = path.rstrip("/")
     mark = uuid.uuid4().hex
@@ -33,9 +33,17 @@ def overwrite_self(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     context = df.sparkSession.sparkContext
     as_path = context._jvm.org.apache.hadoop.fs.Path
     system = as_path(path).getFileSystem(context._jsc.hadoopConfiguration())
-    for source, target in ((path, former), (fresh, path)):
+
+    def rename(source: str, target: str) -> None:
         if system.exists(as_path(source)) and not system.rename(as_path(source), as_path(target)):
             raise OSError(f"cannot rename {source} to {target}")
+
+    rename(path, former)
+    try:
+        rename(fresh, path)
+    except BaseException:
+        rename(former, path)
+        raise
     system.delete(as_path(former), True)
     df.sparkSession.catalog.refreshByPath(path)
 
@@ -84,7 +92,7 @@ def load_reference(spark: SparkSession, csv_path: str, schema: str, path: str) -
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header.
 
-    One file per task, or, if asked for, a single one that one task writes.
+    One file per task, or, if asked for, a single one, which one task writes whatever the size.
     """
     if single_file:
         df = df.coalesce(1)
@@ -99,11 +107,10 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def export_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
-    """Every table as CSV below a folder; returns the number of rows written per table."""
-    parts = []
+    """Every table as CSV below a folder; returns the number of rows per table, counted by the write itself."""
+    counts = []
     for name, df in tables.items():
-        path = f"{folder.rstrip('/')}/{name}"
-        export_csv(df, path)
-        written = spark.read.schema(df.schema).csv(path, header=True, escape='"', multiLine=True)
-        parts.append(written.agg(F.count(F.lit(1)).alias("row_cnt")).select(F.lit(name).alias("table_name"), "row_cnt"))
-    return reduce(DataFrame.unionByName, parts)
+        rows = Observation()
+        export_csv(df.observe(rows, F.count(F.lit(1)).alias("n")), f"{folder.rstrip('/')}/{name}")
+        counts.append((name, rows.get["n"]))
+    return spark.createDataFrame(counts, "table_name string, row_cnt bigint")

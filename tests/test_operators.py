@@ -201,3 +201,27 @@ def test_delete_replace_patch(spark):
     new = spark.createDataFrame([("x", 9)], "c string, n int")
     assert Counter(tuples(replace_group(df, new, F.col("c") == "x"))) == Counter([("x", 9), (None, 2), ("y", 3)])
     assert patch(df, F.col("c") == "y", {"n": F.lit(0)}).where("c = 'y'").first()["n"] == 0
+
+
+def test_a_query_binds_its_frame_alone(spark):
+    """The user's own view stays; queries with common table expressions, comments and braces; calls at once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ledgerloom.operators.project import full_query
+
+    spark.range(3).createOrReplaceTempView("dataset")
+    try:
+        df = spark.range(10).withColumnRenamed("id", "N")
+        assert full_query(df, "SELECT max(N) AS m FROM dataset;").first().m == 9
+        text = "/* with */ -- {x}\n WITH big AS (SELECT * FROM dataset WHERE N > 4) SELECT count(*) AS c, '{a}' AS t FROM big"
+        assert tuple(full_query(df, text).first()) == (5, "{a}")
+        nested = "SELECT count(*) AS c FROM (SELECT a.N FROM dataset a JOIN dataset b ON a.N = b.N) x"
+        assert full_query(df, nested).first().c == 10
+        assert spark.table("dataset").count() == 3
+        frames = [spark.range(n).withColumnRenamed("id", "N") for n in range(1, 9)]
+        with ThreadPoolExecutor(4) as pool:
+            counts = list(pool.map(lambda f: full_query(f, "SELECT count(*) AS c FROM dataset").first().c, frames * 3))
+        assert counts == [*range(1, 9)] * 3
+        assert [t.name for t in spark.catalog.listTables() if t.isTemporary] == ["dataset"]
+    finally:
+        spark.catalog.dropTempView("dataset")

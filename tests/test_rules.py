@@ -13,6 +13,7 @@ from ledgerloom.plans import selection as Sel
 from ledgerloom.plans.ingest import ENRICHMENTS, References, subject_snapshot
 from ledgerloom.plans.premium import Line, premium_by_line, premium_report
 from ledgerloom.queries.mapping import metadata
+from ledgerloom.sinks.versions import read_current
 
 COLUMNS = R.RuleColumns({1: "A", 2: "B"}, {11: "trg#7_X", 12: "trg#8_Y Z"})
 WIDE = "mapping_rule_column_group_id bigint, A string, B string, `trg#7_X` string, `trg#8_Y Z` string"
@@ -269,7 +270,8 @@ def test_selection_set_errors(spark, folder):
     other = Sel.refresh_selection_set(spark, data, out, columns="K")
     assert (other.status, other.status_desc) == ("ERROR", "Mismatched columns")
     assert Sel.refresh_selection_set(spark, data, out, columns="K,V", conditions="V = 'x'").data.count() == 1
-    assert spark.read.parquet(out).dtypes == [("K", "string"), ("V", "string")]
+    assert read_current(spark, out).dtypes == [("K", "string"), ("V", "string")]
+    assert [tuple(r) for r in read_current(spark, out).collect()] == [("1", "x")]
 
 
 def test_definitions(spark, folder):
