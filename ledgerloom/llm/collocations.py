@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import at_hand, order_of, slices, spans, stored, texts_of
+from ledgerloom.llm.common import at_hand, gather, order_of, slices, spans, stored, texts_of
 
 #: Words of the longest phrase.
 DEPTH = 4
@@ -33,7 +33,8 @@ BUDGET = 1 << 21
 #: Hash cells per group.
 CELLS = 16
 LEAST = 30
-_SIZE = 16 << 20
+#: Bytes of text that a task holds at once, to count words and to gather suffixes.
+_SIZE, _SIZE_SUFFIXES = 16 << 20, 8 << 20
 _KIND = np.full(256, 2, np.uint8)
 _KIND[[0x20, 0x09]] = 0
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
@@ -121,23 +122,29 @@ class _Suffixes:
         self.depth = np.ones(len(first), np.int64)
         self.hash = np.zeros(len(first), np.int64)
         self.names = words.names.to_pylist()
-        # A prefix over the budget is followed by its next word.
-        rows = np.arange(len(first))
-        for depth in range(1, DEPTH + 1):
-            number = self.lang[rows] * top + self.keys[0, rows]
-            for k in range(1, depth):
-                number, _, _ = _counted(number, self.keys[k, rows])
-            number, place, _ = _counted(number, np.zeros(len(rows), np.int64))
-            texts = [(int(self.lang[rows[p]]), self.text(rows[p], depth)) for p in place.tolist()]
-            seeds = [zlib.crc32(x.encode() + b"\0") for x in words.langs]
-            self.hash[rows] = np.fromiter((zlib.crc32(t, seeds[i]) for i, t in texts), np.int64, len(texts))[number]
-            over = np.array([(words.langs[i], t) in heavy for i, t in texts], bool) if heavy else np.zeros(len(texts), bool)
-            rows = rows[over[number]]
+        seeds = [zlib.crc32(x.encode() + b"\0") for x in words.langs]
+        # The prefix is the first word, and one over the budget is followed by its next word.
+        key = self.lang * top + self.keys[0]
+        known = np.unique(key)
+        names, langs = [self.names[k - 1] for k in (known % top).tolist()], (known // top).tolist()
+        crc = [zlib.crc32(x, seeds[i]) for i, x in zip(langs, names, strict=True)]
+        number = np.searchsorted(known, key)
+        self.hash = np.array(crc, np.int64)[number]
+        over = np.array([(words.langs[i], x) in heavy for i, x in zip(langs, names, strict=True)], bool)
+        rows = np.flatnonzero(over[number]) if heavy else np.zeros(0, np.int64)
+        number = key[rows]
+        for depth in range(2, DEPTH + 1):
             if not len(rows):
                 break
             # Also those that end here: their prefix is no node of one group.
-            self.depth[rows] = depth + 1
-            rows = rows[self.keys[depth, rows] > 0]
+            self.depth[rows] = depth
+            longer = self.keys[depth - 1, rows] > 0
+            rows, number = rows[longer], number[longer]
+            number, place, _ = _counted(number, self.keys[depth - 1, rows])
+            texts = [(int(self.lang[r]), self.text(r, depth)) for r in rows[place].tolist()]
+            self.hash[rows] = np.array([zlib.crc32(t, seeds[i]) for i, t in texts], np.int64)[number]
+            over = np.array([(words.langs[i], t) in heavy for i, t in texts], bool)[number]
+            rows, number = rows[over], number[over]
 
     def text(self, row: int, depth: int) -> bytes:
         return b" ".join([self.names[k - 1] for k in self.keys[:depth, row].tolist() if k])
@@ -148,7 +155,7 @@ def _longer(heavy: dict[tuple[str, bytes], int], depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, rows=1 << 16, size=_SIZE):
+            for some in slices(batch, rows=1 << 16, size=_SIZE_SUFFIXES):
                 found = _Suffixes(_Words(some), heavy)
                 rows = np.flatnonzero((found.depth == depth) & (found.keys[depth - 1] > 0))
                 total: dict[tuple[int, bytes], int] = {}
@@ -192,7 +199,7 @@ def _dealt(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_of, heavy = shared.value
         for batch in batches:
-            for some in slices(batch, rows=1 << 16, size=_SIZE):
+            for some in slices(batch, rows=1 << 16, size=_SIZE_SUFFIXES):
                 words = _Words(some)
                 found = _Suffixes(words, heavy)
                 group = group_of[found.hash % len(group_of)]
@@ -201,16 +208,15 @@ def _dealt(shared):
                 key = key[order]
                 cuts = np.append(np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)) if len(key) else [0]
                 sizes = pa.compute.binary_length(words.names).to_numpy().astype(np.int64)
+                place = np.zeros(len(sizes) + 1, np.int64)
+                letters, begins = np.frombuffer(b"".join(found.names), np.uint8), spans(sizes)[:-1]
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     rows = order[a:b]
                     keys = found.keys[:, rows]
-                    used = np.zeros(len(sizes) + 1, bool)
-                    used[keys] = True
-                    used[0] = False
-                    place = np.cumsum(used)
-                    place[0] = 0
-                    own = np.flatnonzero(used) - 1
-                    text = b"".join([found.names[k] for k in own.tolist()])
+                    own = np.unique(keys)
+                    own = own[own > 0] - 1
+                    place[own + 1] = np.arange(1, len(own) + 1)
+                    text = gather(letters, begins[own], sizes[own])
                     body = np.concatenate([place[keys].ravel(), found.n[rows]]).astype("<i4")
                     r = int(rows[0])
                     yield pa.RecordBatch.from_pylist(
