@@ -19,6 +19,7 @@ from ledgerloom.operators.numbering import first_rows, order_columns, paginate
 from ledgerloom.operators.project import any_present, expression_column, filter_where, given
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 from ledgerloom.plans.status import JobResult
+from ledgerloom.session import scratch_root
 from ledgerloom.sinks.tables import export_csv, overwrite_partitions
 
 PREVIEW_ROWS = 5_000
@@ -248,13 +249,16 @@ def expression_changes(
     expression: str,
     columns: R.RuleColumns,
     current: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Long rule rows that an expression adds or changes.
 
     ``current`` holds the set's long rows (EDIT) or is None (SAVE).  A changed
     rule keeps its group id; new ones follow the highest.  Rules whose source
     row vanished or whose value turned NULL stay as they are.  There is no row
-    limit: every mapped source row gets its rule.
+    limit: every mapped source row gets its rule.  ``largest`` is the highest group
+    id of ``current``, if known.  Source and current rules are read once: what changed
+    is stored, and known and new rules are both taken from there.
     """
     if len(columns.target) != 1:
         raise SchemaMismatch("Target selection set has more than 1 column.")
@@ -266,8 +270,9 @@ def expression_changes(
         largest = -1
     else:
         wide = R.pivot_rules(current, columns.source, columns.target)
-        changed = R.changed_rows(mapped, wide, keys, target)
-        largest = R.largest_group_id(wide)
+        scratch_root(source.sparkSession)
+        changed = R.changed_rows(mapped, wide, keys, target).checkpoint()
+        largest = R.largest_group_id(current) if largest is None else largest
     numbered = R.assign_group_ids(changed, [F.col(quoted(k)).asc_nulls_first() for k in keys], largest)
     return R.unpivot_rules(
         numbered, {name: i for i, name in columns.source.items()}, {target: target_id}
@@ -289,8 +294,8 @@ def rules_by_expression(
         rows = expression_changes(source, expression, columns)
         return replace_group(table, as_rule_rows(table, rows, user, now), in_set)
     current = table.where(in_set)
-    has_rules = not current.isEmpty()
-    rows = expression_changes(source, expression, columns, current if has_rules else None)
+    known = current.agg(F.count(F.lit(1)).alias("rows"), F.max(R.GROUP).alias("largest")).first()
+    rows = expression_changes(source, expression, columns, current if known.rows else None, int(known.largest or 0))
     return merge_rules(table, rows, in_set, user, now)
 
 

@@ -169,6 +169,35 @@ def test_expression_save_then_edit(spark):
     assert wide_values(replaced) == {(0, "p", "1", "only")}
 
 
+def test_an_edit_reads_its_source_once(spark):
+    """Rows that pass a counting function: the source once, the rule table four times (state, rules, update, match)."""
+    counters = {name: spark.sparkContext.accumulator(0) for name in ("source", "table")}
+
+    def counted(name):
+        seen = counters[name]
+
+        @F.udf("string")
+        def same(x):
+            seen.add(1)
+            return x
+
+        return same
+
+    source = [(c, i) for i, c in enumerate("abcdefgh")]
+    table = by_expression(spark, spark.createDataFrame([], TABLE), source, "'old'", "SAVE").checkpoint()
+    n = table.count()
+    watched = table.withColumn(R.SOURCE_VALUE, counted("table")(R.SOURCE_VALUE)).withColumn(
+        "curr_ind", F.when(F.col(R.SOURCE_VALUE).isNull(), "?").otherwise(F.col("curr_ind"))
+    )
+    rows = spark.createDataFrame([*source, ("new", 9)], "A string, B int")
+    rows = rows.select(counted("source")("A").alias("A"), "B")
+    edited = J.rules_by_expression(watched, rows, "CASE WHEN B > 3 THEN 'new' ELSE 'old' END", ONE, "me")
+    values = edited.collect()
+    assert len(values) == n + 2 and sum(r[R.TARGET_VALUE] == "new" for r in values) == 10
+    assert counters["source"].value == len(source) + 1
+    assert counters["table"].value <= 4 * n
+
+
 def test_expression_edit_without_rules_starts_at_zero(spark):
     got = by_expression(spark, spark.createDataFrame([], TABLE), [("p", 1)], "'v'", "EDIT")
     assert wide_values(got) == {(0, "p", "1", "v")}
