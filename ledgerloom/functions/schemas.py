@@ -132,6 +132,75 @@ def schema_gate(df: DataFrame, target: T.StructType | DataFrame) -> DataFrame:
     return df
 
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+#: Digits of the integer types.
+_DIGITS = dict(zip(_INTEGERS, (3, 5, 10, 19), strict=True))
+
+
+def holds(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Whether every value of one type is one of the other, and files of the narrow type can be read as the wide one."""
+    a, b = narrow.simpleString(), wide.simpleString()
+    if a == b:
+        return True
+    if a in _DIGITS and b in _DIGITS:
+        return _DIGITS[a] < _DIGITS[b]
+    if isinstance(wide, T.DecimalType):
+        whole = wide.precision - wide.scale
+        if isinstance(narrow, T.DecimalType):
+            return whole >= narrow.precision - narrow.scale and wide.scale >= narrow.scale
+        return a in _DIGITS and whole >= _DIGITS[a]
+    return b == "double" and a in ("float", "tinyint", "smallint", "int")
+
+
+@dataclass(frozen=True)
+class ColumnChange:
+    """What happens to a column when rows of a new shape meet a stored table."""
+
+    name: str
+    #: kept, cast (to the stored type), widened (the stored type), filled (with NULL), added or dropped.
+    action: str
+    new_type: str | None
+    stored_type: str | None
+
+
+def gated(new: T.StructType, stored: T.StructType | None, evolve: bool = False) -> tuple[T.StructType, list[ColumnChange]]:
+    """The shape in which rows enter a stored table, and what becomes of each column.
+
+    Names compare without case; the stored ones and their order stay.  A type that the
+    stored one holds, or any if that is text, is cast to it.  With ``evolve`` a wider type
+    widens the stored one and a new column is added at the end; without, a new column is
+    dropped.  A column whose type fits in neither way is an error.
+    """
+    if stored is None:
+        return new, [ColumnChange(f.name, "added", f.dataType.simpleString(), None) for f in new.fields]
+    fresh = {f.name.lower(): f for f in new.fields}
+    target, changes, unfit = [], [], []
+    for old in stored.fields:
+        f = fresh.pop(old.name.lower(), None)
+        have = old.dataType.simpleString()
+        want = None if f is None else f.dataType.simpleString()
+        kind, action = old.dataType, "kept"
+        if f is None:
+            action = "filled"
+        elif want != have:
+            if isinstance(old.dataType, T.StringType) or holds(old.dataType, f.dataType):
+                action = "cast"
+            elif evolve and holds(f.dataType, old.dataType):
+                kind, action = f.dataType, "widened"
+            else:
+                unfit.append(f"{old.name}: {want} for {have}")
+        target.append(T.StructField(old.name, kind))
+        changes.append(ColumnChange(old.name, action, want, have))
+    for f in new.fields:
+        if f.name.lower() in fresh:
+            changes.append(ColumnChange(f.name, "added" if evolve else "dropped", f.dataType.simpleString(), None))
+            if evolve:
+                target.append(T.StructField(f.name, f.dataType))
+    if unfit:
+        raise SchemaMismatch(f"columns that do not fit the stored table: {', '.join(unfit)}")
+    return T.StructType(target), changes
+
+
 def column_mismatch(data: Iterable[str], definition: Iterable[str], role: str) -> str | None:
     """Why the data columns do not fit the rule columns, or None.
 

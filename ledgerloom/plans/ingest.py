@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.schemas import align_schema, schema_from_metadata, schema_gate
+from ledgerloom.functions.schemas import ColumnChange, align_schema, gated, schema_from_metadata, schema_gate
 from ledgerloom.functions.values import filled, month_end_date, parsed_number, percent_as_fraction, repaired_date
 from ledgerloom.operators.lookup import lookup
 from ledgerloom.operators.project import case_override
 from ledgerloom.sinks.tables import store_snapshot
-from ledgerloom.sources.files import csv_typed, landing_file
+from ledgerloom.sinks.versions import keep_schema, read_snapshots, stored_schema
+from ledgerloom.sources.files import LANDING_PATTERN, csv_typed, landing_file
 
 ORGANIZATION_TAKES = {
     "book": "book",
@@ -155,7 +156,24 @@ def subject_snapshot(
     return schema_gate(align_schema(enriched, schema), schema)
 
 
-def ingest_subject(
+@dataclass
+class Ingested:
+    """A stored month, and what became of the columns of its file."""
+
+    data: DataFrame
+    table: str
+    as_of: dt.date
+    changes: list[ColumnChange]
+
+    def report(self) -> DataFrame:
+        """``as_of, position, name, action, new_type, stored_type`` per column."""
+        rows = [(self.as_of, i, c.name, c.action, c.new_type, c.stored_type) for i, c in enumerate(self.changes)]
+        return self.data.sparkSession.createDataFrame(
+            rows, "as_of date, position int, name string, action string, new_type string, stored_type string"
+        )
+
+
+def ingest_month(
     spark: SparkSession,
     subject: str,
     folder: str,
@@ -164,12 +182,27 @@ def ingest_subject(
     table: str,
     reference_date: dt.date,
     months_back: int = 1,
-) -> DataFrame:
-    """Load the landing file of a month and store its snapshot; returns the snapshot."""
+    evolve: bool = False,
+    pattern: str = LANDING_PATTERN,
+) -> Ingested:
+    """Load the landing file of a month into the stored table.
+
+    The month takes the shape of the table (``gated``): its columns are kept, cast, filled
+    or dropped, with ``evolve`` also added or widened, and a file that does not fit
+    is an error before anything is written.  The first month gives the table its shape.
+    """
     as_of = month_end_date(reference_date, months_back)
-    path = landing_file(spark, folder, subject, as_of.strftime("%Y%m%d"))
+    path = landing_file(spark, folder, subject, as_of.strftime("%Y%m%d"), pattern=pattern)
     raw = csv_typed(spark, path, schema_from_metadata(metadata))
-    snapshot = subject_snapshot(subject, raw, refs, as_of)
+    target, changes = gated(target_schema(subject, raw.schema), stored_schema(spark, table), evolve)
+    snapshot = subject_snapshot(subject, raw, refs, as_of, target)
+    # A schema without its month only adds NULL columns to the months before.
+    keep_schema(spark, table, target)
     cluster = [c for c in ("book", "carrier", "specialty_program", "organization") if c in snapshot.columns]
     store_snapshot(snapshot, table, cluster_by=cluster)
-    return spark.read.parquet(table).where(F.col("as_of") == F.lit(as_of))
+    return Ingested(read_snapshots(spark, table).where(F.col("as_of") == F.lit(as_of)), table, as_of, changes)
+
+
+def ingest_subject(*arguments, **options) -> DataFrame:
+    """The stored month that ``ingest_month`` loads."""
+    return ingest_month(*arguments, **options).data

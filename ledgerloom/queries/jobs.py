@@ -11,7 +11,7 @@ from ledgerloom.operators import rules as R
 from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.plans import rule_jobs as J
 from ledgerloom.plans.bordereaux import bordereaux_load
-from ledgerloom.plans.ingest import References, ingest_subject
+from ledgerloom.plans.ingest import Ingested, References, ingest_month, ingest_subject
 from ledgerloom.plans.selection import (
     create_definition,
     publish_selection_set,
@@ -25,7 +25,7 @@ from ledgerloom.queries.registry import day, query, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sink
 from ledgerloom.plans.status import JobResult
-from ledgerloom.sinks.versions import read_current
+from ledgerloom.sinks.versions import read_current, read_snapshots
 from ledgerloom.sources.files import csv_robust, landing_file_name
 
 LATEST_SQL = f"""WITH {RUNS_SQL}, latest AS (SELECT * FROM runs
@@ -308,23 +308,90 @@ ORGANIZATION_SQL = """org AS (SELECT n_name AS organization, r_name AS book, 'Ac
 ORG_COLUMNS_SQL = "book, account_name, specialty_program, carrier"
 
 
+def described(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
+    """Metadata rows of a file's columns."""
+    rows = ", ".join(f"({i}, '{n}', '{t}', NULL, NULL, NULL, 'YES')" for i, (n, t) in enumerate(columns.items()))
+    return spark.sql(
+        f"""SELECT * FROM VALUES {rows} AS m(ORDINAL_POSITION, COLUMN_NAME, DATA_TYPE,
+        CHARACTER_MAXIMUM_LENGTH, NUMERIC_PRECISION, NUMERIC_SCALE, IS_NULLABLE)"""
+    )
+
+
 def run_ingest(
     spark: SparkSession, subject: str, raw: DataFrame, columns: dict[str, str], refs: References | None, prefix: str = ""
 ) -> DataFrame:
     """Land a subject as CSV, describe it by metadata rows, ingest it."""
     drop = scratch_path(spark, "landing")
     sink.export_csv(raw.select(*columns), f"{drop}/{landing_file_name(subject, '20241231', prefix)}")
-    rows = ", ".join(f"({i}, '{n}', '{t}', NULL, NULL, NULL, 'YES')" for i, (n, t) in enumerate(columns.items()))
-    metadata = spark.sql(
-        f"""SELECT * FROM VALUES {rows} AS m(ORDINAL_POSITION, COLUMN_NAME, DATA_TYPE,
-        CHARACTER_MAXIMUM_LENGTH, NUMERIC_PRECISION, NUMERIC_SCALE, IS_NULLABLE)"""
-    )
     snapshot = ingest_subject(
-        spark, subject, drop, metadata, refs, scratch_path(spark, f"{subject}-table"), dt.date(2025, 1, 15)
+        spark, subject, drop, described(spark, columns), refs, scratch_path(spark, f"{subject}-table"), dt.date(2025, 1, 15)
     )
     return snapshot.select(*[day(c).alias(c) if t == "date" else F.col(c) for c, t in snapshot.dtypes])
 
 
+def two_months(spark: SparkSession, folder: str) -> list[Ingested]:
+    """Suppliers as organizations of two months: a wider number, a new column and a lost one in the second."""
+    drop, stored = scratch_path(spark, "landing"), scratch_path(spark, "organization-table")
+    dates = {"org_last_updated_date_char": "varchar", "organization_created_date_char": "varchar"}
+    rows = table(spark, folder, "supplier").select(
+        F.col("s_name").alias("organization"),
+        F.lit("01/31/2024").alias("org_last_updated_date_char"),
+        F.lit("45292").alias("organization_created_date_char"),
+        F.col("s_suppkey").alias("size"),
+        F.col("s_nationkey").alias("region"),
+        F.col("s_acctbal").alias("balance"),
+    )
+    months = (
+        ("20241130", dt.date(2024, 12, 10), {"organization": "varchar", **dates, "size": "int", "region": "int"}),
+        ("20241231", dt.date(2025, 1, 10), {"balance": "float", "size": "bigint", "organization": "varchar", **dates}),
+    )
+    done = []
+    for suffix, reference, columns in months:
+        sink.export_csv(rows.select(*columns), f"{drop}/{landing_file_name('organization', suffix)}")
+        metadata = described(spark, columns)
+        done.append(ingest_month(spark, "organization", drop, metadata, None, stored, reference, evolve=True))
+    return done
+
+
+@query(
+    "ingest_evolving",
+    """SELECT '2024-11-30' AS as_of, s_name AS organization, CAST(s_suppkey AS BIGINT) AS size, CAST(s_nationkey AS BIGINT) AS region,
+CAST(NULL AS DOUBLE) AS balance, '2024-01-31' AS organization_last_updated_date, '2024-01-01' AS organization_created_date FROM supplier
+UNION ALL SELECT '2024-12-31', s_name, s_suppkey, NULL, s_acctbal, '2024-01-31', '2024-01-01' FROM supplier""",
+)
+def ingest_evolving(spark: SparkSession, folder: str) -> DataFrame:
+    """Both months in the shape that the table has after the second."""
+    whole = read_snapshots(spark, two_months(spark, folder)[-1].table)
+    return whole.select(
+        day("as_of").alias("as_of"),
+        "organization",
+        "size",
+        F.col("region").cast("bigint").alias("region"),
+        "balance",
+        day("organization_last_updated_date").alias("organization_last_updated_date"),
+        day("organization_created_date").alias("organization_created_date"),
+    )
+
+
+@query(
+    "ingest_report",
+    """SELECT as_of, name, action, new_type, stored_type FROM (VALUES
+('2024-11-30', 'as_of', 'added', 'date', NULL), ('2024-11-30', 'organization', 'added', 'string', NULL),
+('2024-11-30', 'org_last_updated_date_char', 'added', 'string', NULL), ('2024-11-30', 'organization_created_date_char', 'added', 'string', NULL),
+('2024-11-30', 'size', 'added', 'int', NULL), ('2024-11-30', 'region', 'added', 'int', NULL),
+('2024-11-30', 'organization_last_updated_date', 'added', 'date', NULL), ('2024-11-30', 'organization_created_date', 'added', 'date', NULL),
+('2024-12-31', 'as_of', 'kept', 'date', 'date'), ('2024-12-31', 'organization', 'kept', 'string', 'string'),
+('2024-12-31', 'org_last_updated_date_char', 'kept', 'string', 'string'), ('2024-12-31', 'organization_created_date_char', 'kept', 'string', 'string'),
+('2024-12-31', 'size', 'widened', 'bigint', 'int'), ('2024-12-31', 'region', 'filled', NULL, 'int'),
+('2024-12-31', 'organization_last_updated_date', 'kept', 'date', 'date'), ('2024-12-31', 'organization_created_date', 'kept', 'date', 'date'),
+('2024-12-31', 'balance', 'added', 'double', NULL)) AS t(as_of, name, action, new_type, stored_type)""",
+)
+def ingest_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of every column of the two months."""
+    first, second = two_months(spark, folder)
+    return first.report().unionAll(second.report()).select(day("as_of").alias("as_of"), "name", "action", "new_type", "stored_type")
+
+
 def orders_by_nation(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         "c_custkey", "c_mktsegment", F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("organization")

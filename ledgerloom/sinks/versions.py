@@ -8,11 +8,13 @@ rows, one that fails after leaves the new ones.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.sinks.tables import overwrite
 
@@ -65,6 +67,35 @@ class _Folder:
         self.system.delete(self.path(name), True)
 
 
+SCHEMA = "_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema that a table of snapshots keeps beside them, else that of its files; None if there is no table."""
+    folder = _Folder(spark, path)
+    text = folder.read(SCHEMA)
+    if text is not None:
+        return T.StructType.fromJson(json.loads(text))
+    if not folder.system.exists(folder.path()):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(path).schema
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Set the schema in which ``read_snapshots`` gives the rows of all snapshots, old ones too."""
+    folder = _Folder(spark, path)
+    folder.system.mkdirs(folder.path())
+    folder.replace(SCHEMA, schema.json())
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """All snapshots in the table's schema: NULL for columns that one lacks, narrower types as the wider ones."""
+    schema = stored_schema(spark, path)
+    if schema is None:
+        raise FileNotFoundError(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
     """Write a version that no reader sees yet; its folder's name and number of rows, counted by the write."""
     name, rows = f"v-{uuid.uuid4().hex}", Observation()
