@@ -34,18 +34,74 @@ def parse_dates(df: DataFrame, columns: Iterable[str], fmt: str = ISO_DATE) -> D
     )
 
 
+# A year without a day, as text or as a number.
+_BARE_YEAR = r"^(?:19|20)\d{2}(\.0+)?$"
+_TIME = r"(?:\s+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[AaPp][Mm])?)?$"
+# Two-digit years from here on are of the last century.
+LAST_CENTURY_FROM = 70
+
+
 def repaired_date(text: Column) -> Column:
-    """DATE from ISO, US, ``ddMMMyyyy`` or spreadsheet-serial text, else NULL."""
+    """DATE from ISO, US, ``ddMMMyyyy`` or spreadsheet-serial text, else NULL.
+
+    A US date may have a time, which is left out, and a year of two digits: 70 to 99
+    are of the last century.  A year alone is no date, nor is it a serial number, and
+    serial numbers begin at 1; ``date_reject`` tells what such text is.
+    """
     value = F.trim(text)
-    serial = F.when(value.rlike(r"^[0-9]{1,6}(\.0+)?$"), value.try_cast("double").cast("int"))
+    serial = F.when(
+        value.rlike(r"^[0-9]{1,6}(\.0+)?$") & ~value.rlike(_BARE_YEAR), F.nullif(value.try_cast("double").cast("int"), F.lit(0))
+    )
+    day = F.regexp_extract(value, r"^(\d{1,2}/\d{1,2}/)\d{2}" + _TIME, 1)
+    short = F.regexp_extract(value, r"^\d{1,2}/\d{1,2}/(\d{2})" + _TIME, 1)
+    century = F.when(short.try_cast("int") >= LAST_CENTURY_FROM, "19").otherwise("20")
     return F.coalesce(
         F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(value, 1, 10), ISO_DATE)),
-        F.when(value.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(value, "M/d/yyyy")),
+        F.try_to_date(F.nullif(F.regexp_extract(value, r"^(\d{1,2}/\d{1,2}/\d{4})" + _TIME, 1), F.lit("")), "M/d/yyyy"),
+        F.when(short != "", F.try_to_date(F.concat(day, century, short), "M/d/yyyy")),
         F.when(value.rlike(r"^(?i)\d{2}[a-z]{3}\d{4}$"), F.try_to_date(F.initcap(value), "ddMMMyyyy")),
         F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial),
     )
 
 
+def date_reject(text: Column) -> Column:
+    """Why text gives no date: ``year`` for a year alone, else ``unreadable``; NULL for a date, and for no text."""
+    value = F.trim(text)
+    return F.when((F.length(value) > 0) & repaired_date(text).isNull(), F.when(value.rlike(_BARE_YEAR), "year").otherwise("unreadable"))
+
+
+def number_reject(text: Column) -> Column:
+    """``unreadable`` for text that is no number; NULL for a number, and for no text."""
+    return F.when((F.length(F.trim(text)) > 0) & parsed_number(text).isNull(), "unreadable")
+
+
+REJECTS = "_rejects"
+
+
+def typed(df: DataFrame, dates: Iterable[str] = (), numbers: Iterable[str] = ()) -> DataFrame:
+    """The named text columns as DATE or DOUBLE, and what they lost: ``_rejects``, an array of column, raw text and reason.
+
+    Rows are read once; ``rejects`` gives the array as rows, ``drop("_rejects")`` the typed rows alone.
+    """
+    dates, numbers = list(dates), list(numbers)
+    lost = [
+        F.when(reason.isNotNull(), F.struct(F.lit(c).alias("column"), F.col(quoted(c)).alias("raw"), reason.alias("reason")))
+        for c, reason in [(c, date_reject(F.col(quoted(c)))) for c in dates]
+        + [(c, number_reject(F.col(quoted(c)))) for c in numbers]
+    ]
+    values = {c: repaired_date(F.col(quoted(c))) for c in dates} | {c: parsed_number(F.col(quoted(c))) for c in numbers}
+    none = F.from_json(F.lit("[]"), "array<struct<column: string, raw: string, reason: string>>")
+    return df.select(
+        *[values[c].alias(c) if c in values else F.col(quoted(c)) for c in df.columns],
+        (F.array_compact(F.array(*lost)) if lost else none).alias(REJECTS),
+    )
+
+
+def rejects(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """``column, raw, reason`` of every value that ``typed`` could not read, with the kept columns of its row."""
+    return df.select(*[F.col(quoted(c)) for c in keep], F.explode(REJECTS).alias("__lost")).select(*keep, "__lost.*")
+
+
 def normalize_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     wanted = set(columns)
     return df.select(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.headers import HEADER_ALIASES
-from ledgerloom.functions.values import normalize_dates, parse_dates
+from ledgerloom.functions.values import normalize_dates, parse_dates, typed
 from ledgerloom.operators.combine import dedup_rows
 from ledgerloom.operators.project import drop_embedded_headers
 from ledgerloom.sinks.tables import append_evolving
@@ -24,11 +24,17 @@ def clean_bordereaux(
     dates: Sequence[str] = DATE_COLUMNS,
     headers: Mapping[str, str] = EMBEDDED_HEADERS,
     repair: bool = True,
+    keep_rejects: bool = False,
 ) -> DataFrame:
-    """No header rows, no duplicate rows, dates as DATE (repaired or strictly ISO)."""
+    """No header rows, no duplicate rows, dates as DATE (repaired or strictly ISO).
+
+    With ``keep_rejects`` dates are repaired and what could not be read is in ``_rejects``.
+    """
     known = [c for c in dates if c in raw.columns]
     labels = {c: t for c, t in headers.items() if c in raw.columns}
     rows = dedup_rows(drop_embedded_headers(raw, labels) if labels else raw)
+    if keep_rejects:
+        return typed(rows, known)
     return normalize_dates(rows, known) if repair else parse_dates(rows, known)
 
 

@@ -18,7 +18,9 @@ from ledgerloom.functions.values import (
     parse_dates,
     parsed_number,
     percent_as_fraction,
+    rejects,
     stringified,
+    typed,
 )
 from ledgerloom.operators.lookup import lookup
 from ledgerloom.operators.profile import rowcount_status
@@ -197,6 +199,46 @@ def normalize_dates_query(spark: SparkSession, folder: str) -> DataFrame:
     return repaired.withColumn("order_day", text("order_day"))
 
 
+def landed_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Order days and prices as text in all the ways they arrive, some unreadable."""
+    orders = table(spark, folder, "orders")
+    way, date = F.pmod("o_orderkey", F.lit(8)), F.col("o_orderdate").cast("date")
+    day_text = (
+        F.when(way == 0, F.date_format(date, "M/d/yyyy h:mm a"))
+        .when(way == 1, F.date_format(date, "MM/dd/yy"))
+        .when(way == 2, F.date_format(date, "yyyy"))
+        .when(way == 3, F.date_format(date, "MM/dd/yyyy HH:mm:ss"))
+        .when(way == 4, F.lit(" "))
+        .when(way == 5, F.lit("13/45/2024"))
+        .when(way == 6, F.concat(F.date_diff(date, F.lit("1899-12-30")).cast("string"), F.lit(".0")))
+    )
+    price = F.when(way == 3, "n/a").when(way == 4, "").otherwise(F.col("o_totalprice").cast("string"))
+    return orders.select("o_orderkey", day_text.alias("day"), price.alias("price"))
+
+
+@query(
+    "typed_values",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 8 IN (0, 1, 3, 6) THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
+CASE WHEN o_orderkey % 8 NOT IN (3, 4) THEN o_totalprice END AS price,
+CAST(CASE o_orderkey % 8 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS lost FROM orders""",
+)
+def typed_values(spark: SparkSession, folder: str) -> DataFrame:
+    found = typed(landed_values(spark, folder), ["day"], ["price"])
+    return found.select("o_orderkey", text("day").alias("day"), "price", F.size("_rejects").cast("bigint").alias("lost"))
+
+
+@query(
+    "rejected_values",
+    """SELECT 'day' AS "column", 'year' AS reason, year(o_orderdate)::VARCHAR AS raw, count(*) AS n FROM orders WHERE o_orderkey % 8 = 2 GROUP BY ALL
+UNION ALL SELECT 'day', 'unreadable', '13/45/2024', count(*) FROM orders WHERE o_orderkey % 8 = 5 HAVING count(*) > 0
+UNION ALL SELECT 'price', 'unreadable', 'n/a', count(*) FROM orders WHERE o_orderkey % 8 = 3 HAVING count(*) > 0""",
+)
+def rejected_values(spark: SparkSession, folder: str) -> DataFrame:
+    """What could not be read, with its raw text, counted."""
+    lost = rejects(typed(landed_values(spark, folder), ["day"], ["price"]), ["o_orderkey"])
+    return lost.groupBy("column", "reason", "raw").agg(F.count(F.lit(1)).alias("n"))
+
+
 MESSY_HEADERS = {
     "l_orderkey": "Policy #",
     "l_linenumber": "EndorsementNumber",

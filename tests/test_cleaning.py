@@ -15,8 +15,10 @@ from ledgerloom.functions.values import (
     nfc,
     parsed_number,
     percent_as_fraction,
+    rejects,
     repaired_date,
     stringified,
+    typed,
 )
 from ledgerloom.operators.project import (
     any_present,
@@ -74,6 +76,36 @@ def test_dates_are_repaired_and_never_raise(spark):
     assert got == [day, day, day, dt.date(2023, 1, 31), day, None, None, None, None, None]
 
 
+def test_dates_lose_nothing(spark):
+    """Every way a date arrives, and what the others are."""
+    want = {
+        "9/30/2024 1:05 PM": dt.date(2024, 9, 30),
+        "09/30/24": dt.date(2024, 9, 30),
+        "1/2/99 00:00:00": dt.date(1999, 1, 2),
+        "12/31/69": dt.date(2069, 12, 31),
+        "1": dt.date(1899, 12, 31),
+        "02/30/24": "unreadable",
+        "09/30/2024 noon": "unreadable",
+        "2024": "year",
+        "1999.0": "year",
+        "0": "unreadable",
+        "1899": dt.date(1905, 3, 13),
+        "  ": None,
+        None: None,
+    }
+    rows = [(i, t, t) for i, t in enumerate(want)]
+    df = typed(spark.createDataFrame(rows, "i int, `the day` string, _c string"), ["the day"], ["_c"])
+    got = {}
+    for r in df.orderBy("i").collect():
+        lost = [x.reason for x in r._rejects if x.column == "the day"]
+        assert len(lost) <= 1 and not (lost and r["the day"])
+        got[list(want)[r.i]] = lost[0] if lost else r["the day"]
+    assert got == want
+    lost = rejects(df, ["i"]).where("column = '_c'").collect()
+    assert {r.raw for r in lost} == {t for t in want if t and "/" in t} and {r.reason for r in lost} == {"unreadable"}
+    assert rejects(typed(spark.range(3))).count() == 0
+
+
 @pytest.mark.parametrize(
     "day, back, want",
     [
