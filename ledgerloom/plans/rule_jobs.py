@@ -16,6 +16,7 @@ from ledgerloom.functions.values import OPEN_END_DATE, blank_for_null, stringifi
 from ledgerloom.operators import rules as R
 from ledgerloom.operators.mutate import replace_group, upsert
 from ledgerloom.operators.numbering import first_rows, order_columns, paginate
+from ledgerloom.operators.pages import keep_order
 from ledgerloom.operators.project import any_present, expression_column, filter_where, given
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 from ledgerloom.plans.status import JobResult
@@ -54,8 +55,13 @@ def _with_targets(df: DataFrame, mapping_type: str, targets: Mapping[str, DataFr
 
 
 def rule_page(view: DataFrame, start: int, size: int, sort_order: str | None = None) -> DataFrame:
-    """One page; without a sort order the newest rules come first."""
-    return paginate(view, start, size, sort_order if given(sort_order) else f"{R.GROUP} desc")
+    """One page; without a sort order the first column leads."""
+    return paginate(view, start, size, sort_order if given(sort_order) else None)
+
+
+def keep_rule_pages(view: DataFrame, path: str, sort_order: str | None = None) -> int:
+    """Sort a view once for many pages (``pages.page``); its number of rows."""
+    return keep_order(view, path, sort_order if given(sort_order) else None)
 
 
 def rows_to_json(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.combine import dedup_counts, dedup_rows, except_rows, union_distinct, union_evolving
 from ledgerloom.operators.numbering import first_rows, number_rows, paginate
+from ledgerloom.operators.pages import keep_order, page
 from ledgerloom.operators.profile import (
     distinct_row_count,
     distinct_years,
@@ -17,6 +18,7 @@ from ledgerloom.operators.profile import (
 )
 from ledgerloom.plans.selection import coverage, exposed_rowcount, target_values
 from ledgerloom.queries.registry import day, query, table
+from ledgerloom.session import scratch_path
 
 DATED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
@@ -185,6 +187,14 @@ def paginate_deep(spark: SparkSession, folder: str) -> DataFrame:
     return paginate(priced(spark, folder), 12001, 500, "o_totalprice desc")
 
 
+@query("page_kept", PAGE_SQL + " WHERE RowNum >= 951 AND RowNum < 1101")
+def page_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The order is kept in blocks of a thousand rows; the page reads the two that it touches."""
+    path = scratch_path(spark, "pages")
+    keep_order(priced(spark, folder), path, "o_totalprice desc", block_rows=1_000)
+    return page(spark, path, 951, 150)
+
+
 @query("number_rows", PAGE_SQL)
 def number_rows_query(spark: SparkSession, folder: str) -> DataFrame:
     return number_rows(priced(spark, folder), "o_totalprice desc", "RowNum")

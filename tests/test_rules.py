@@ -281,10 +281,11 @@ def test_rows_to_json(spark):
     assert list(json.loads(text).items()) == [("a", ""), ("b.c", "x"), ("m", 1)]
 
 
-def test_page_puts_newest_rules_first(spark):
+def test_a_page_without_an_order_follows_the_first_column(spark):
     view = spark.createDataFrame([(None, "n"), (3, "c"), (5, "e")], f"{R.GROUP} int, A string")
     got = J.rule_page(view, 1, 2).orderBy("RowNum").collect()
-    assert [r["A"] for r in got] == ["e", "c"]
+    assert [r["A"] for r in got] == ["n", "c"]
+    assert [r["A"] for r in J.rule_page(view, 1, 2, f"{R.GROUP} desc").orderBy("RowNum").collect()] == ["e", "c"]
 
 
 # --- selection sets -------------------------------------------------------------------
