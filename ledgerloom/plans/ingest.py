@@ -206,3 +206,17 @@ def ingest_month(
 def ingest_subject(*arguments, **options) -> DataFrame:
     """The stored month that ``ingest_month`` loads."""
     return ingest_month(*arguments, **options).data
+
+
+def append_stored(spark: SparkSession, csv_path: str, table: str) -> DataFrame:
+    """Append a CSV file to a table in the schema that the table has; returns the whole table.
+
+    For tables, such as premium triangles, whose columns are described nowhere else.
+    Columns are found by name; an unknown or missing one is an error, and without a
+    table there is no schema to go by.
+    """
+    schema = stored_schema(spark, table)
+    if schema is None:
+        raise FileNotFoundError(table)
+    csv_typed(spark, csv_path, schema).write.mode("append").parquet(table)
+    return spark.read.schema(schema).parquet(table)

@@ -100,20 +100,19 @@ def premium_by_line(lines: Sequence[Line], policies: DataFrame, parameters: Data
     """
     start, end = (F.lit(d) for d in period_of(parameters, "start_date", "end_date"))
     keys = {"policy_number": "policy_number", "endorsement_number": "endorsement_number"}
-    parts = []
-    for line in lines:
-        in_period = line.data.where(within(F.col("commit_date"), start, end, closed))
-        parts.append(
-            restrict_to_keys(in_period, policies, keys).select(
-                F.lit(line.name).alias("source_table"),
-                "policy_number",
-                "endorsement_number",
-                "commit_date",
-                line.gross_premium().alias("gross_premium"),
-            )
+    committed = [
+        line.data.where(within(F.col("commit_date"), start, end, closed)).select(
+            F.lit(line.name).alias("source_table"),
+            "policy_number",
+            "endorsement_number",
+            "commit_date",
+            line.gross_premium().alias("gross_premium"),
         )
+        for line in lines
+    ]
+    # The period is filtered in each line's scan; the policy list meets all lines in one join.
     return (
-        reduce(DataFrame.unionByName, parts)
+        restrict_to_keys(reduce(DataFrame.unionByName, committed), policies, keys)
         .groupBy("source_table", "policy_number", "endorsement_number", "commit_date")
         .agg(F.sum("gross_premium").alias("total_gross_premium"))
         .orderBy("source_table", "commit_date")

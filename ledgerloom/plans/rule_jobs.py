@@ -452,8 +452,24 @@ SET_FACTS = (
 )
 
 
+# Columns a published rule takes from each side, and their names there.
+SIDE_COLUMNS = {
+    "selection_set_column_key": "{}_selection_set_column_key",
+    "mapping_rule_set_selection_set_assoc_key": "mapping_rule_set_{}_selection_set_key",
+    "selection_set_name": "{}_selection_set_name",
+    "selection_set_mapping_tool_column_name": "{}_selection_set_mapping_tool_column_name",
+    "selection_set_srce_column_name": "{}_selection_set_srce_column_name",
+}
+
+
 def published_rules(rules: DataFrame, meta: R.RuleMetadata, rule_set_key: int) -> DataFrame:
-    """Rules of a set with the names of both sides: the column graph joined twice."""
+    """Rules of a set with the names of both sides: the column graph joined twice.
+
+    A graph of at most ``MAX_RULE_COLUMNS`` columns is read once.  A larger one is reduced
+    first, to the columns of the set and then to the target columns that its rules name.
+    What is within the bound is sent to all tasks, so that rules stay where they are,
+    however many share a column; sides beyond it are joined as they are.
+    """
     small = broadcast_if_small
     graph = (
         R.column_graph(meta)
@@ -463,22 +479,31 @@ def published_rules(rules: DataFrame, meta: R.RuleMetadata, rule_set_key: int) -
     )
     key = "mapping_rule_set_selection_set_column_assoc_key"
 
-    def side(role: str, extra: Sequence[str] = ()) -> DataFrame:
-        return graph.select(
+    def side(columns: DataFrame, role: str, extra: Sequence[str] = ()) -> DataFrame:
+        return columns.select(
             F.col(key).alias(R.SOURCE_ID if role == "srce" else R.TARGET_ID),
-            F.col("selection_set_column_key").alias(f"{role}_selection_set_column_key"),
-            F.col("mapping_rule_set_selection_set_assoc_key").alias(f"mapping_rule_set_{role}_selection_set_key"),
-            F.col("selection_set_name").alias(f"{role}_selection_set_name"),
-            F.col("selection_set_mapping_tool_column_name").alias(f"{role}_selection_set_mapping_tool_column_name"),
-            F.col("selection_set_srce_column_name").alias(f"{role}_selection_set_srce_column_name"),
+            *[F.col(c).alias(name.format(role)) for c, name in SIDE_COLUMNS.items()],
             *extra,
         )
 
-    source = side("srce", SET_FACTS).where(F.col("mapping_rule_set_key") == rule_set_key)
-    target = side("trgt")
-    joined = rules.join(broadcast_if_few(source, R.MAX_RULE_COLUMNS), R.SOURCE_ID).join(
-        broadcast_if_few(target, R.MAX_RULE_COLUMNS), R.TARGET_ID
-    )
+    def few(df: DataFrame) -> tuple[DataFrame, list | None]:
+        """The frame from its rows, read once, and its first column; as it is, and None, if it has too many."""
+        rows = df.limit(R.MAX_RULE_COLUMNS + 1).collect()
+        if len(rows) > R.MAX_RULE_COLUMNS:
+            return df, None
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), [r[0] for r in rows]
+
+    in_set = F.col("mapping_rule_set_key") == rule_set_key
+    whole, ids = few(graph.select(key, *SIDE_COLUMNS, *SET_FACTS))
+    if ids is not None:
+        source, target = (F.broadcast(x) for x in (side(whole.where(in_set), "srce", SET_FACTS), side(whole, "trgt")))
+        joined = rules.join(source, R.SOURCE_ID).join(target, R.TARGET_ID)
+    else:
+        source, ids = few(side(graph.where(in_set), "srce", SET_FACTS))
+        joined = (rules if ids is None else rules.where(F.col(R.SOURCE_ID).isin(ids))).join(source, R.SOURCE_ID)
+        _, ids = few(joined.select(R.TARGET_ID).distinct())
+        target, _ = few(side(graph if ids is None else graph.where(F.col(key).isin(ids)), "trgt"))
+        joined = joined.join(target, R.TARGET_ID)
     facts = [c for c in RULE_FACTS if c in rules.columns]
     return joined.select(
         *facts, *[c for c in source.columns if c != R.SOURCE_ID], *[c for c in target.columns if c != R.TARGET_ID]

@@ -11,7 +11,7 @@ from ledgerloom.operators import rules as R
 from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.plans import rule_jobs as J
 from ledgerloom.plans.bordereaux import bordereaux_load
-from ledgerloom.plans.ingest import Ingested, References, ingest_month, ingest_subject
+from ledgerloom.plans.ingest import Ingested, References, append_stored, ingest_month, ingest_subject
 from ledgerloom.plans.selection import (
     create_definition,
     publish_selection_set,
@@ -353,6 +353,20 @@ def two_months(spark: SparkSession, folder: str) -> list[Ingested]:
     return done
 
 
+@query(
+    "append_stored",
+    """SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal <= 0
+UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0""",
+)
+def append_stored_query(spark: SparkSession, folder: str) -> DataFrame:
+    """A file with its columns in another order, in the schema of the stored table."""
+    path, landed = scratch_path(spark, "triangles"), scratch_path(spark, "triangles-csv")
+    rows = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    sink.overwrite(rows.where("s_acctbal <= 0"), path)
+    sink.export_csv(rows.where("s_acctbal > 0").select("s_acctbal", "s_suppkey", "s_name"), landed)
+    return append_stored(spark, landed, path)
+
+
 @query(
     "ingest_evolving",
     """SELECT '2024-11-30' AS as_of, s_name AS organization, CAST(s_suppkey AS BIGINT) AS size, CAST(s_nationkey AS BIGINT) AS region,

@@ -5,7 +5,7 @@ import os
 
 import pytest
 from ledgerloom.functions.schemas import SchemaMismatch, gated, holds
-from ledgerloom.plans.ingest import ingest_month
+from ledgerloom.plans.ingest import append_stored, ingest_month
 from ledgerloom.queries.jobs import described
 from ledgerloom.sinks import versions as V
 from pyspark.sql import types as T
@@ -76,6 +76,18 @@ def test_months_of_other_shapes(spark, folder):
     assert third.report().count() == len(third.changes)
 
 
+def test_a_file_is_appended_in_the_stored_schema(spark, folder):
+    path = f"{folder}/a.csv"
+    with open(path, "w") as f:
+        f.write("v,k\nx,2\ny,bad\n")
+    with pytest.raises(FileNotFoundError):
+        append_stored(spark, path, f"{folder}/t")
+    spark.createDataFrame([(1, "old")], "k int, v string").write.parquet(f"{folder}/t")
+    got = append_stored(spark, path, f"{folder}/t")
+    assert got.dtypes == [("k", "int"), ("v", "string")]
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "old"), (2, "x"), (None, "y")]
+
+
 def test_a_table_without_a_kept_schema_has_that_of_its_files(spark, folder):
     assert V.stored_schema(spark, f"{folder}/t") is None
     spark.createDataFrame([(1, "x")], "id int, as_of string").write.partitionBy("as_of").parquet(f"{folder}/t")

@@ -400,3 +400,23 @@ def test_organization_target_has_the_updated_date(spark):
     row = subject_snapshot("organization", raw, None, dt.date(2024, 12, 31)).first()
     day = dt.date(2024, 9, 30)
     assert (row["organization_last_updated_date"], row["organization_created_date"]) == (day, day)
+
+
+@pytest.mark.parametrize("most", [R.MAX_RULE_COLUMNS, 5, 2])
+def test_rules_are_published_without_a_shuffle_of_rules(spark, data, monkeypatch, most):
+    """A few jobs to reduce the column graph; the rules themselves meet broadcasts alone."""
+    from ledgerloom.queries.mapping import both_sets
+
+    monkeypatch.setattr(R, "MAX_RULE_COLUMNS", most)
+    context = spark.sparkContext
+    rules = both_sets(spark, data).checkpoint()
+    context.setJobGroup("publish", "publish")
+    published = J.published_rules(rules, metadata(spark), 1)
+    built = len(context.statusTracker().getJobIdsForGroup("publish"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    plan = published._jdf.queryExecution().executedPlan().toString()
+    if most > 2:
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert most <= 5 or built <= 15
+    assert published.count() == rules.where(F.col(R.SOURCE_ID).isin(501, 502)).count() > 0
+    assert J.published_rules(rules, metadata(spark), 99).count() == 0
