@@ -34,7 +34,7 @@ BUDGET = 1 << 21
 CELLS = 16
 LEAST = 30
 #: Bytes of text that a task holds at once, to count words and to gather suffixes.
-_SIZE, _SIZE_SUFFIXES = 16 << 20, 8 << 20
+_SIZE, _SIZE_SUFFIXES = 8 << 20, 4 << 20
 _KIND = np.full(256, 2, np.uint8)
 _KIND[[0x20, 0x09]] = 0
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
