@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,25 @@ def order_of(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return packed & ((1 << own) - 1)
 
 
+_HELD: dict[str, tuple[object, object]] = {}
+
+
+def worker_cache(owner: str, key: object, make: Callable[[], object]):
+    """What an operator keeps in its Python worker from task to task.
+
+    One operator's at a time: Spark gives the workers of one stage to the next,
+    and memory must not grow with the number of stages.
+    """
+    found = _HELD.get(owner)
+    if found is None or found[0] != key:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        found = _HELD[owner] = (key, make())
+    return found[1]
+
+
 class Codes(dict):
     """Numbers for byte strings, and for each a run of integers made once by ``make``.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, fold, slices, texts_of
+from ledgerloom.llm.common import Codes, at_hand, fold, slices, texts_of, worker_cache
 
 #: Bounds of the labelled sample: documents a language, bytes of one of them, languages.
 SAMPLE_DOCUMENTS = 32
@@ -131,22 +131,19 @@ def phrase_limits(sample: dict[str, str]) -> list[tuple[float, float]]:
     return found
 
 
-_BUILT: dict[int, tuple[list[str], Codes]] = {}
-
-
 def _parser(sample: dict[str, str]) -> tuple[list[str], Codes]:
     """Automata of the sample, one set per Python worker; codes give the phrases of a word in every language."""
-    key = hash(tuple(sample.items()))
-    if key not in _BUILT:
-        _BUILT.clear()
+
+    def built() -> tuple[list[str], Codes]:
         automata = [SuffixAutomaton(f" {text} ") for text in sample.values()]
 
         def phrases(word: str) -> list[int]:
             text = f" {word} "
             return [a.phrases(text) for a in automata]
 
-        _BUILT[key] = list(sample), Codes(phrases)
-    return _BUILT[key]
+        return list(sample), Codes(phrases)
+
+    return worker_cache("language", tuple(sample.items()), built)
 
 
 def _predict(sample, names, limits):
@@ -164,12 +161,13 @@ def _predict(sample, names, limits):
                     ends.append(len(held))
                     letters.append(sum(map(len, words)))
                 n = piece.num_rows
-                table = np.array(codes.flat, np.int64).reshape(-1, max(k, 1))
                 doc = np.repeat(np.arange(n), np.diff(ends))
-                at = np.array(held, np.int64)
                 total = np.zeros((n, max(k, 1)))
-                for j in range(k):
-                    total[:, j] = np.bincount(doc, table[at, j], n)
+                if k and held:
+                    # Only the rows of the slice's own words are copied.
+                    rows = np.frombuffer(codes.flat, np.intc).reshape(-1, k)[np.array(held, np.int64)]
+                    for j in range(k):
+                        total[:, j] = np.bincount(doc, rows[:, j], n)
                 known = (np.array(letters) > 0) & (k > 0)
                 rate = total / np.maximum(np.array(letters), 1)[:, None]
                 best = rate.argmin(1)
@@ -218,8 +216,8 @@ def language_id(documents: DataFrame, training: DataFrame | None = None) -> Data
     ``documents``: ``doc_id, text, lang``; other columns are ignored.  Learns
     from ``training`` (by default the documents outside the held-out fifth)
     with a text and a label: at most ``SAMPLE_DOCUMENTS`` whole texts of up to
-    ``SAMPLE_BYTES`` a language, as the order of their hashes has them.  A text
-    that is NULL or without a letter is ``und`` with score 0, and so is every
+    ``SAMPLE_BYTES`` a language, as the order of their hashes has them, and at most
+    ``MOST_LANGUAGES`` languages, the first by name.  A text that is NULL or without a letter is ``und`` with score 0, and so is every
     text if nothing is labelled.  A NULL id is not held out and not learnt from.
     Of languages with equally few phrases the first by name wins.
     """

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, gather, slices, spans, texts_of
+from ledgerloom.llm.common import Codes, at_hand, gather, slices, spans, texts_of, worker_cache
 
 BLANK = "▁"
 
@@ -239,20 +239,19 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-@lru_cache(maxsize=2)
 def piece_codes(path: str) -> Codes:
-    model = piece_model(path)
-    return Codes(model.encode_stretch, most=700_000)
+    return worker_cache("pieces", path, lambda: Codes(piece_model(path).encode_stretch, most=700_000))
 
 
 def _encoded(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, codes = piece_model(path), piece_codes(path)
-        raw = np.frombuffer(b"".join(model.raw), np.uint8).astype(np.int64)
+        raw = np.frombuffer(b"".join(model.raw), np.uint8)
         width = np.fromiter(map(len, model.raw), np.int64, len(model.raw))
         at = spans(width)[:-1]
         for batch in batches:
-            for piece in slices(batch):
+            # The places of all bytes of a slice are held at once.
+            for piece in slices(batch, size=2 << 20):
                 codes.trim()
                 texts = [t.decode("utf-8", "replace") for t in texts_of(piece)]
                 normal = [model.normal(t) for t in texts]
@@ -263,7 +262,7 @@ def _encoded(path: str, with_ids: bool):
                     ends.append(len(held))
                 ids, sizes = codes.runs(np.array(held, np.int64))
                 reach = spans(sizes)[ends]
-                back = gather(raw, at[ids], width[ids]).astype(np.uint8).tobytes()
+                back = gather(raw, at[ids], width[ids]).tobytes()
                 place = spans(width[ids])[reach].tolist()
                 plain = ids.astype("<u4")
                 reach = reach.tolist()

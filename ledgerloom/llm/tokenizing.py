@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from ledgerloom.llm.common import Codes, gather, spans
+from ledgerloom.llm.common import Codes, gather, spans, worker_cache
 from ledgerloom.llm.latin import WORDS, split_bytes, split_words
 
 
@@ -157,10 +157,9 @@ def pre_tokenizer(path: str) -> PreTokenizer:
     return PreTokenizer(path)
 
 
-@lru_cache(maxsize=2)
 def id_codes(path: str) -> Codes:
     """Ids of the pre-tokens this Python worker has met, kept from task to task."""
-    return Codes(pre_tokenizer(path).ids, most=600_000)
+    return worker_cache("ids", path, lambda: Codes(pre_tokenizer(path).ids, most=600_000))
 
 
 def encode_texts(path: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

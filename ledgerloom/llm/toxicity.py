@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, fold, slices, stored, texts_of, words
+from ledgerloom.llm.common import Codes, at_hand, fold, slices, stored, texts_of, words, worker_cache
 
 #: Bounds of the sample that the model is fitted on, and features that it keeps.
 SAMPLE_POSITIVE = 4_000
@@ -172,15 +172,9 @@ def learn(documents: DataFrame, labels: DataFrame, prior: float | None = None) -
     return Model({int(f): float(a) for f, a in zip(kept, w, strict=True)}, b)
 
 
-_CODES: dict[int, Codes] = {}
-
-
 def _codes(model: Model) -> Codes:
-    key = hash((model.bias, tuple(model.weights.items())))
-    if key not in _CODES:
-        _CODES.clear()
-        _CODES[key] = Codes(model.of_word)
-    return _CODES[key]
+    key = (model.bias, tuple(model.weights.items()))
+    return worker_cache("toxicity", key, lambda: Codes(model.of_word))
 
 
 def _scored(shared, names):
