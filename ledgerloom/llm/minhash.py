@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import at_hand, checkpointed, slices, stored, texts_of, words
+from ledgerloom.llm.common import at_hand, checkpointed, slices, stored, texts_of, words, worker_cache
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -221,6 +221,7 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_cache("near duplicates", None, dict)
     for batch in batches:
         for piece in slices(batch, size=4 << 20):
             texts = texts_of(piece)
@@ -251,6 +252,8 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    # Whole texts' shingles, of the last few texts of this task alone.
+    worker_cache("near duplicates", None, dict)
     cache: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
 
     def of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
