@@ -12,6 +12,7 @@ contexts (tag, notice, statement, mention): some hundreds of signatures.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -171,6 +172,38 @@ def normalised(text: bytes) -> bytes:
     return b" " + b" ".join(text.translate(WORD_BYTES).split()) + b" "
 
 
+class _Places:
+    """The number of the word at a place of a line: how many blanks are before it."""
+
+    def __init__(self, line: bytes):
+        self.blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+
+    def word(self, place: int) -> int:
+        return int(np.searchsorted(self.blanks, place))
+
+
+class _Kept:
+    """Whether an interval lies within one that was kept: the greatest end by start, in a binary indexed tree."""
+
+    def __init__(self, starts: list[int]):
+        self.starts = sorted(set(starts))
+        self.end = [-1] * (len(self.starts) + 1)
+
+    def holds(self, start: int, end: int) -> bool:
+        i = bisect_right(self.starts, start)
+        while i:
+            if self.end[i] >= end:
+                return True
+            i &= i - 1
+        return False
+
+    def add(self, start: int, end: int) -> None:
+        i = bisect_right(self.starts, start)
+        while i < len(self.end):
+            self.end[i] = max(self.end[i], end)
+            i += i & -i
+
+
 def base_places(line: bytes) -> list[tuple[int, str]]:
     """Start word and label of each base phrase; ``line`` as ``normalised`` gives it."""
     found = []
@@ -178,9 +211,10 @@ def base_places(line: bytes) -> list[tuple[int, str]]:
         key = b" " + phrase.encode() + b" "
         at = line.find(key)
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            found.append((at, label))
             at = line.find(key, at + 1)
-    return sorted(found)
+    places = _Places(line) if found else None
+    return sorted((places.word(at), label) for at, label in found)
 
 
 @lru_cache(maxsize=1)
@@ -200,13 +234,17 @@ def detections(line: bytes) -> list[tuple[int, int, str, int, float]]:
         for rule in own:
             for m in rule.pattern.finditer(line):
                 hits.append((-rule.priority, m.start() - m.end(), m.start(), m.end(), rule.label, rule.weight))
+    if not hits:
+        return []
     kept: list[tuple[int, int, str, int, float]] = []
+    within = _Kept([h[2] for h in hits])
     for priority, _, start, end, label, weight in sorted(hits):
-        if not any(s <= start and end <= e for s, e, *_ in kept):
+        if not within.holds(start, end):
+            within.add(start, end)
             kept.append((start, end, label, -priority, weight))
+    places = _Places(line)
     return [
-        (line.count(b" ", 0, s) - 1, line.count(b" ", 0, e), label, priority, weight)
-        for s, e, label, priority, weight in sorted(kept)
+        (places.word(s) - 1, places.word(e), label, priority, weight) for s, e, label, priority, weight in sorted(kept)
     ]
 
 
