@@ -43,22 +43,42 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rated.where("__lang != 'und'").select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``__key`` per row: its id, or below zero a hash of id and text where the id is NULL or stands in several rows.
+
+    So rows are judged by their own text; only rows that are alike in both share a key.
+    """
+    name = F.col("doc_id").cast("long")
+    own = -1 - F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(1 << 62))
+    repeated = docs.groupBy(name.alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 OR __id IS NULL")
+    if not repeated.limit(1).count():
+        return docs.withColumn("__key", name)
+    marks = repeated.select("__id", F.lit(True).alias("__odd"))
+    marked = docs.join(marks, name == F.col("__id"), "left")
+    return marked.withColumn(
+        "__key", F.when(name.isNull() | F.coalesce("__odd", F.lit(False)), own).otherwise(name)
+    ).select(*docs.columns, "__key")
+
+
+def by_key(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("__key").alias("doc_id"), "text")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the least id. Rows without an id stay."""
-    copies = near_duplicates(docs).where(~F.col("representative")).select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if repeated.limit(1).count():
-        # Rows of one id and one text are copies too.
-        some = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-        kept = some.unionAll(kept.where("doc_id IS NULL"))
-    return kept
+    """One document of each group: the one with the least key (see ``keyed``), once."""
+    rows = keyed(docs)
+    copies = near_duplicates(by_key(rows)).where(~F.col("representative")).select(F.col("doc_id").alias("__key")).distinct()
+    kept = rows.join(copies, "__key", "left_anti")
+    # Rows of one id and one text are copies too; other keys stand once.
+    odd = kept.where("__key < 0").dropDuplicates(["__key"])
+    return kept.where("__key >= 0 OR __key IS NULL").unionByName(odd).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark passage in their own text, whatever their id."""
+    rows = keyed(docs)
+    found = contaminated(by_key(rows), read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__key")).distinct()
+    return rows.join(found, "__key", "left_anti").select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
