@@ -19,7 +19,6 @@ from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.values import blank_for_null
 from ledgerloom.operators.combine import grouped_rows
 from ledgerloom.operators.numbering import number_rows
-from ledgerloom.operators.project import any_present
 from ledgerloom.operators.sizing import broadcast_if_few, broadcast_if_small
 
 # Column names of the rule table.
@@ -293,13 +292,6 @@ def missing_rules(rules: DataFrame, data: DataFrame, keys: Sequence[str]) -> Dat
     return filled.join(present, keys, "left_anti")
 
 
-def missing_target_rules(rules: DataFrame, target: object, target_data: DataFrame) -> DataFrame:
-    """Rules that use a target whose row is gone; rules that leave it empty do not count."""
-    keys = [c for c in rules.columns if (target_of(c) or ("", ""))[0] == str(target)]
-    used = rules.where(any_present(keys))
-    return missing_rules(used, with_target_prefix(target_data, target), keys)
-
-
 def with_presence(rules: DataFrame, data: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """All rules with a flag: their key values occur in the data; NULL equals NULL."""
     names = {k: f"__key{i}" for i, k in enumerate(keys)}
