@@ -42,12 +42,12 @@ def tables(spark, folder):
         (None, base, "en"),
         (None, words(68) + " clean three", None),
         (None, words(9) + " " + BENCH, None),
-        (1_007, words(69) + " clean four", "en"),
-        (1_007, docs[-1][1] if docs else "", "en"),
+        # One row twice.
+        *[(1_007, words(69) + " clean four", "en")] * 2,
     ]
-    docs[-1] = (1_007, docs[-2][1], "en")
     docs += [(1_008, None, None), (1_009, "", "en"), (1_010, "0123 456 !!", "en")]
-    spark.createDataFrame([(*d, "s", i) for i, d in enumerate(docs)], "doc_id long, text string, lang string, source string, __key int").drop("__key").write.parquet(f"{folder}/documents.parquet")
+    rows = spark.createDataFrame([(*d, "s") for d in docs], "doc_id long, text string, lang string, source string")
+    rows.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(marks, "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, BENCH)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return docs
