@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -22,6 +24,7 @@ from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.plans.status import JobResult
 from ledgerloom.session import scratch_root
 from ledgerloom.sinks.tables import export_csv, overwrite_partitions
+from ledgerloom.sources.records import csv_lines, csv_records, parsed, plain_path, split_size
 
 PREVIEW_ROWS = 5_000
 BOOKKEEPING = (R.GROUP, R.MISSING_SOURCE, R.MISSING_TARGET, "updated_by")
@@ -346,6 +349,34 @@ def _in_sheet_order(raw: DataFrame) -> DataFrame:
     )
 
 
+def _sheet_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a sheet as text, numbered from 0.
+
+    Files larger than a split are joined to records by many tasks.
+    """
+    options = {"emptyValue": "", "nullValue": "\\N"}
+    lines = csv_lines(spark, path)
+    if lines.where(F.col("size") > split_size(spark)).isEmpty():
+        return _in_sheet_order(spark.read.csv(path, header=False, multiLine=True, quote='"', escape='"', **options))
+    records = csv_records(lines)
+    first = records.orderBy(_name("file"), "number").limit(1).first()
+    cells = next(csv.reader(io.StringIO(first.record, newline=""))) if first else []
+    columns = [f"_c{i}" for i in range(len(cells))]
+    before = Window.orderBy("__name").rowsBetween(Window.unboundedPreceding, -1)
+    files = (
+        records.groupBy("file", _name("file").alias("__name"))
+        .agg(F.count(F.lit(1)).alias("__size"))
+        .select("file", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    )
+    rows = parsed(records, columns, **options)
+    # One row per file of the sheet.
+    return rows.join(F.broadcast(files), "file").select(*columns, (F.col("__before") + F.col("number")).alias(R.GROUP))
+
+
+def _name(file: str) -> Column:
+    return F.element_at(F.split(plain_path(file), "/"), -1)
+
+
 def read_import(spark: SparkSession, path: str) -> ImportSheet:
     """Read a CSV export of an import sheet with two or three header rows.
 
@@ -354,9 +385,7 @@ def read_import(spark: SparkSession, path: str) -> ImportSheet:
     to their right, and all values are text: ``NA`` stays ``NA``.  A folder of
     part files counts as one sheet in the order of their names.
     """
-    raw = _in_sheet_order(
-        spark.read.csv(path, header=False, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\\N")
-    )
+    raw = _sheet_rows(spark, path)
     head = [list(r)[:-1] for r in raw.where(F.col(R.GROUP) < 3).orderBy(R.GROUP).collect()]
     first = (head[0][0] or "").strip().lower() if head else ""
     if first == "sources" and len(head) == 3:

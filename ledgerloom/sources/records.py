@@ -147,11 +147,14 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return alone.unionAll(several)
 
 
-def parsed(records: DataFrame, columns: Sequence[str], corrupt: str | None = None) -> DataFrame:
-    """``file, number`` and the columns as text, by their place; the raw text of malformed records in ``corrupt``."""
+def parsed(records: DataFrame, columns: Sequence[str], corrupt: str | None = None, **more: str) -> DataFrame:
+    """``file, number`` and the columns as text, by their place; the raw text of malformed records in ``corrupt``.
+
+    ``more``: further options of Spark's CSV parser.
+    """
     names = [*columns, *([corrupt] if corrupt else [])]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", **more}
     if corrupt:
         options["columnNameOfCorruptRecord"] = corrupt
     # The schema as text of its own: names may be of any kind.

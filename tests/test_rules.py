@@ -223,6 +223,27 @@ def sheet(spark, folder, text):
     return J.read_import(spark, f"{folder}/import.csv")
 
 
+def test_a_large_sheet_is_read_by_many_tasks(spark, folder):
+    """The same rows in the same order, split or not; part files follow one another by name."""
+    import os
+
+    os.makedirs(f"{folder}/sheet.csv")
+    head = 'Source,,Target\nC_NAME,"C\nX",SEGMENT\n'
+    for k in range(3):
+        with open(f"{folder}/sheet.csv/part-{k}.csv", "w") as f:
+            f.write((head if k == 0 else "") + "".join(f'C{k}-{i},"two\nlines, ""{i}""",{"" if i % 3 else "x"}\n' for i in range(20)))
+    whole = J.read_import(spark, f"{folder}/sheet.csv")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        split = J.read_import(spark, f"{folder}/sheet.csv")
+        assert split.data.columns == whole.data.columns and split.source_columns == whole.source_columns
+        got = [tuple(r) for r in split.data.orderBy(R.GROUP).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert got == [tuple(r) for r in whole.data.orderBy(R.GROUP).collect()] and len(got) == 60
+
+
 def test_import_three_header_rows(spark, folder):
     got = sheet(
         spark,
