@@ -4,8 +4,10 @@ Every host has a tree of path segments.  Numbers and hashes in a segment become
 wildcards, a node with many different children becomes one wildcard, and
 children whose continuations and labels are distributed as those of all children
 together are merged.  A template (a path through the tree) is rejected if the
-smoothed share of bad ones among its labelled urls is high.  Labels are what the
-rules say, or given ones.
+smoothed share of bad ones among its labelled urls is high.  A host's template is
+smoothed towards the paths of its shapes on all hosts, and those towards a half, so
+that hosts without labels are judged by the others.  Labels are what the rules say, or
+given ones.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from ledgerloom.llm.common import checkpointed
 MANY = 16
 #: Jensen-Shannon divergence up to which children are merged.
 ALIKE = 0.02
-#: A template is bad from this smoothed purity on; the prior counts as so many labelled urls, half of them bad.
+#: A template is bad from this smoothed purity on; each prior counts as so many labelled urls.
 PURITY = 0.8
 PRIOR_WEIGHT = 4.0
 
@@ -129,7 +131,9 @@ def url_filter(pages: DataFrame, rules: Rules | None = None, labels: DataFrame |
     """``page_id, host, path, rule, verdict, template, purity`` for each row of ``pages`` (``page_id, url``).
 
     The verdict is that of the longest fitting rule, else of the url's template:
-    ``block`` if its smoothed purity reaches ``PURITY``, else ``allow``.
+    ``block`` if its smoothed purity reaches ``PURITY``, else ``allow``: with a host's b bad
+    and g good labelled urls of the template, and B and G of the same canonical paths on all
+    hosts, (b + 4 s) / (b + g + 4) where s = (B + 2) / (B + G + 4).
     ``labels``: ``page_id, bad`` to judge templates by; by default the rules'
     verdicts.  A NULL url, or one without ``://``, has an empty host and path;
     rows with NULL or repeated ids are judged each; other columns are ignored.
@@ -146,8 +150,13 @@ def url_filter(pages: DataFrame, rules: Rules | None = None, labels: DataFrame |
         F.count("*").alias("n"), F.count_if(F.col("bad")).alias("bad"), F.count_if(~F.col("bad")).alias("good")
     )
     tree = templates(checkpointed(paths))
-    rated = tree.groupBy("host", "template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
-    purity = (F.col("b") + PRIOR_WEIGHT / 2) / (F.col("b") + F.col("g") + PRIOR_WEIGHT)
+    # A shape that many hosts have is one row here and many there: the adaptive engine splits those.
+    pooled = tree.groupBy("shape").agg(F.sum("bad").alias("all_b"), F.sum("good").alias("all_g"))
+    rated = tree.join(pooled, "shape").groupBy("host", "template").agg(
+        *[F.sum(c).alias(n) for c, n in (("bad", "b"), ("good", "g"), ("all_b", "all_b"), ("all_g", "all_g"))]
+    )
+    share = (F.col("all_b") + PRIOR_WEIGHT / 2) / (F.col("all_b") + F.col("all_g") + PRIOR_WEIGHT)
+    purity = (F.col("b") + PRIOR_WEIGHT * share) / (F.col("b") + F.col("g") + PRIOR_WEIGHT)
     judged = tree.select("host", "shape", "template").join(
         rated.select("host", "template", purity.alias("purity")), ["host", "template"]
     )
