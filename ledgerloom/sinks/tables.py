@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,34 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.headers import quoted
 from ledgerloom.functions.schemas import align_schema, schema_gate
 
+# Partitions that a task writes at once.  A parquet file under way holds up to a row group in memory.
+OPEN_FILES = 8
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def files_at_once(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Partitioned writes as rows come, with so many files of a task open at once.
+
+    Else every task first sorts all its rows by partition, which takes memory with the rows;
+    now only the rows that a task has left when it meets one partition more are sorted.
+    """
+    former = spark.conf.get(_WRITERS, None)
+    spark.conf.set(_WRITERS, max(files, int(former or 0)))
+    try:
+        yield
+    finally:
+        if former is None:
+            spark.conf.unset(_WRITERS)
+        else:
+            spark.conf.set(_WRITERS, former)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table that the frame itself does not read."""
     writer = df.write.option("compression", "snappy").mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with files_at_once(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def overwrite_self(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -51,18 +74,20 @@ def overwrite_self(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows that may bring new columns; read back with a merged schema."""
     writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with files_at_once(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that occur in the frame."""
-    (
-        df.write.option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with files_at_once(df.sparkSession):
+        (
+            df.write.option("compression", "snappy")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
 
 
 def store_snapshot(df: DataFrame, path: str, target=None, cluster_by: Sequence[str] = ()) -> None:
