@@ -52,13 +52,19 @@ def repaired_date(text: Column) -> Column:
     serial = F.when(
         value.rlike(r"^[0-9]{1,6}(\.0+)?$") & ~value.rlike(_BARE_YEAR), F.nullif(value.try_cast("double").cast("int"), F.lit(0))
     )
+    # Month, day and year in the order that a cast reads.
+    long = F.regexp_replace(value, r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME, "$3-$1-$2")
     day = F.regexp_extract(value, r"^(\d{1,2}/\d{1,2}/)\d{2}" + _TIME, 1)
     short = F.regexp_extract(value, r"^\d{1,2}/\d{1,2}/(\d{2})" + _TIME, 1)
     century = F.when(short.try_cast("int") >= LAST_CENTURY_FROM, "19").otherwise("20")
-    return F.coalesce(
-        F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(value, 1, 10), ISO_DATE)),
-        F.try_to_date(F.nullif(F.regexp_extract(value, r"^(\d{1,2}/\d{1,2}/\d{4})" + _TIME, 1), F.lit("")), "M/d/yyyy"),
+    slashed = F.coalesce(
+        F.when(long != value, long.try_cast("date")),
         F.when(short != "", F.try_to_date(F.concat(day, century, short), "M/d/yyyy")),
+    )
+    # Text without the mark of a form is not matched with its expression.
+    return F.coalesce(
+        F.when(value.contains("-") & value.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(value, 1, 10).try_cast("date")),
+        F.when(value.contains("/"), slashed),
         F.when(value.rlike(r"^(?i)\d{2}[a-z]{3}\d{4}$"), F.try_to_date(F.initcap(value), "ddMMMyyyy")),
         F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial),
     )

@@ -234,9 +234,14 @@ def file_name(code: Column, lines: dict[str, str], year: Column) -> Column:
     return F.concat(line, F.lit("-bordereaux-"), year.cast("string"), F.lit(".csv")).alias("file")
 
 
+# CSV files that a task writes at once: text under way takes little memory.
+NAMED_FILES = 64
+
+
 def write_named(df: DataFrame, folder: str, *names: str) -> None:
     """CSV files named by columns, all in one write."""
-    df.write.option("header", True).option("escape", '"').partitionBy(*(names or ("file",))).csv(folder)
+    with sink.files_at_once(df.sparkSession, NAMED_FILES):
+        df.write.option("header", True).option("escape", '"').partitionBy(*(names or ("file",))).csv(folder)
 
 
 GRID_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS policy_number, CAST(l_linenumber AS VARCHAR) AS endorsement_number,

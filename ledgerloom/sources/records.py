@@ -58,14 +58,22 @@ def split_size(spark: SparkSession) -> int:
     )
 
 
+def _bare(line: Column) -> Column:
+    """A line without the carriage return at its end."""
+    return F.when(F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)).otherwise(line)
+
+
 def spans_lines(line: Column) -> Column:
     """Whether a line can't be read apart from its neighbours with the same result.
 
     Such a line holds a quote that is not part of a field closed on that line, a
-    bare carriage return, or nothing but blanks.
+    bare carriage return, or nothing but blanks.  Only lines with quotes meet the expression.
     """
-    bare = F.regexp_replace(line, r"\r\z", "")
-    return F.regexp_replace(bare, _WHOLE, "$1").contains('"') | bare.contains("\r") | bare.rlike(r"\A\s+\z")
+    bare = _bare(line)
+    open_quote = F.when(line.contains('"'), F.regexp_replace(bare, _WHOLE, "$1").contains('"')).otherwise(False)
+    returns = F.when(line.contains("\r"), bare.contains("\r")).otherwise(False)
+    blank = F.when(F.ltrim(line, F.lit(" \t\n\x0b\f\r")) == "", ~line.isin("", "\r")).otherwise(False)
+    return open_quote | returns | blank
 
 
 def _opens(line: Column) -> Column:
@@ -80,14 +88,14 @@ def file_headers(lines: DataFrame) -> DataFrame:
     field; whether records may span lines; whether one task should read them then, as the
     file is no larger than a split, or a bare carriage return in the first line says that
     other lines may end there too.  One pass over the lines; a row per file leaves each task.
+    A set of at most one value stands for a maximum: sets are aggregated by hash, and so are
+    the aggregates beside one, where the least struct alone would have all lines sorted by file.
     """
     split = split_size(lines.sparkSession)
-    bare = F.regexp_replace("line", r"\r\z", "")
-    first = F.when(F.length(F.trim(bare)) > 0, F.struct("block", "place", bare.alias("line")))
-    heads = lines.groupBy("file").agg(
-        F.min(first).alias("first"), F.max(spans_lines(F.col("line"))).alias("spanning"), F.max("size").alias("size")
-    )
-    header = F.col("first.line")
+    first = F.when(~F.ltrim("line").isin("", "\r"), F.struct("block", "place", "line"))
+    spanning = F.size(F.collect_set(F.when(spans_lines(F.col("line")), True))) > 0
+    heads = lines.groupBy("file").agg(F.min(first).alias("first"), spanning.alias("spanning"), F.max("size").alias("size"))
+    header = _bare(F.col("first.line"))
     return heads.select(
         "file",
         header.alias("header"),

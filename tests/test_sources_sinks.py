@@ -11,6 +11,7 @@ from ledgerloom.plans.bordereaux import bordereaux_load
 from ledgerloom.sinks import tables as K
 from ledgerloom.sources import files as S
 from ledgerloom.sources.jdbc import Database, SplitBy, scan_options
+from ledgerloom.sources.records import csv_lines, file_headers
 
 
 def write(path, text):
@@ -234,3 +235,30 @@ def test_jdbc_options():
     got = scan_options(db, "SELECT a FROM t;", SplitBy("a", 1, 100, 8))
     assert got["dbtable"] == "(SELECT a FROM t) q"
     assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == ("a", "1", "100", "8")
+
+
+def test_what_a_file_says_is_worked_out_once_per_file(spark, folder):
+    write(f"{folder}/in/crime-bordereaux-2019.csv", "Policy Number,line\nA,x\n")
+    write(f"{folder}/in/a%20+b/cyber-bordereaux-2020.csv/part-0.csv", 'Policy Number\n"B\nB"\n')
+    write(f"{folder}/in/a%20+b/cyber-bordereaux-2020.csv/part-1.csv", "Policy Number\nC\n")
+    got = S.grid_load(spark, f"{folder}/in", ["crime", "cyber"])
+    assert sorted(tuple(r) for r in got.select("policy_number", "line", "year").collect()) == [
+        ("A", "crime", 2019),
+        ("B\nB", "cyber", 2020),
+        ("C", "cyber", 2020),
+    ]
+    # No expression on the path where the rows are, only on the side that is sent to them.
+    joins = got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1:]
+    sides = [join.split("+- Project [__file", 1) for join in joins]
+    assert len(sides) == 3 and all("regexp" in files and "regexp" not in rows_ and "decode" not in rows_ for rows_, files in sides)
+
+
+def test_headers_are_found_without_a_sort(spark, folder):
+    text = "\r\n  \r\n" + "Policy,Notes\r\n" + 'A,"x, y"\r\n' * 3
+    write(f"{folder}/a.csv", text)
+    write(f"{folder}/b.csv", 'Policy\n"A\n1"\n')
+    heads = file_headers(csv_lines(spark, folder))
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" in plan
+    got = {r.file.rsplit("/", 1)[-1]: (r.header, r.open_header, r.spanning) for r in heads.collect()}
+    assert got == {"a.csv": ("Policy,Notes", False, True), "b.csv": ("Policy", False, True)}
