@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import read, stored
+from ledgerloom.llm.common import read, small_batches, stored
 from ledgerloom.llm.decontamination import contaminated
 from ledgerloom.llm.language import labelled_sample, phrase_limits, predicted
 from ledgerloom.llm.minhash import near_duplicates
@@ -25,6 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     NULL and empty texts stay.
     """
+    small_batches(spark)
     model = learn(docs, read(spark, sf_dir, "labels"))
     rated = scored(docs, model, docs.columns, ("__score", "__toxic"))
     return rated.where("__toxic = 0").select(*docs.columns)
@@ -36,6 +37,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A text without a letter, or with more phrases per letter than the labelled
     text allows (``phrase_limits``), is in none and goes.
     """
+    small_batches(spark)
     sample = labelled_sample(docs)
     if not any(sample.values()):
         return docs
@@ -66,6 +68,7 @@ def by_key(rows: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the least key (see ``keyed``), once."""
+    small_batches(spark)
     rows = keyed(docs)
     copies = near_duplicates(by_key(rows)).where(~F.col("representative")).select(F.col("doc_id").alias("__key")).distinct()
     kept = rows.join(copies, "__key", "left_anti")
@@ -83,6 +86,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document and whether decoding them gives its text again."""
+    small_batches(spark)
     return encoded(docs)
 
 

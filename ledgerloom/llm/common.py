@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerloom.session import scratch_path, scratch_root
 
@@ -18,6 +19,8 @@ from ledgerloom.session import scratch_path, scratch_root
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: What stands between words.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Texts of a batch that the pipeline sends to a Python worker.
+BATCH_ROWS = 1_000
 #: Bytes of UTF-8: A-Z to a-z, what belongs to no word to a blank.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -32,6 +35,16 @@ def at_hand(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """At most so many rows in an Arrow batch of this session; a smaller number that is set stays.
+
+    A batch is held whole by the executor and by the Python worker, and a row holds a whole text.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     at_hand(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -66,6 +79,13 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return values.to_pylist()
 
 
+def with_text(documents: DataFrame, keep: list[str]) -> tuple[DataFrame, str]:
+    """Columns ``keep`` and, only if it is not a string among them, the text; with the name that holds the text."""
+    if "text" in keep and documents.schema["text"].dataType == StringType():
+        return documents.select(*keep), "text"
+    return documents.select(*keep, F.col("text").cast("string").alias("__text")), "__text"
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", rows: int = 2048, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch of at most so many rows, each closed once its texts reach so many bytes."""
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(
@@ -126,31 +146,34 @@ def worker_cache(owner: str, key: object, make: Callable[[], object]):
 
 
 class Codes(dict):
-    """Numbers for byte strings, and for each a run of integers made once by ``make``.
+    """Numbers for strings, and for each a run of integers made once by ``make``.
 
-    Bounded: ``trim`` empties it when it holds more than ``most`` entries.
+    Bounded: ``trim`` empties it when it holds more than ``most`` entries, or ``MOST_HELD`` letters and integers.
     """
 
+    MOST_HELD = 16_000_000
+
     def __init__(self, make, dtype: str = "i", most: int = 300_000):
         from array import array
 
         super().__init__()
         self.make, self.most, self.dtype = make, most, dtype
-        self.flat, self.sizes = array(dtype), array("i")
+        self.flat, self.sizes, self.letters = array(dtype), array("i"), 0
 
     def __missing__(self, key: bytes) -> int:
         run = self.make(key)
         self[key] = code = len(self.sizes)
         self.flat.extend(run)
         self.sizes.append(len(run))
+        self.letters += len(key)
         return code
 
     def trim(self) -> None:
-        if len(self) > self.most:
+        if len(self) > self.most or self.letters + len(self.flat) > self.MOST_HELD:
             from array import array
 
             self.clear()
-            self.flat, self.sizes = array(self.dtype), array("i")
+            self.flat, self.sizes, self.letters = array(self.dtype), array("i"), 0
 
     def runs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All runs of the codes one after another, and the length of each."""

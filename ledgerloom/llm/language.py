@@ -11,6 +11,7 @@ fewest win.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, fold, slices, texts_of, worker_cache
+from ledgerloom.llm.common import Codes, at_hand, fold, slices, texts_of, with_text, worker_cache
 
 #: Bounds of the labelled sample: documents a language, bytes of one of them, languages.
 SAMPLE_DOCUMENTS = 32
@@ -33,43 +34,76 @@ _SLACK = 3.0
 
 
 class SuffixAutomaton:
-    """All stretches of a text; built letter by letter in linear time."""
+    """All stretches of a text; built letter by letter in linear time.
+
+    Most states have one way on: the first way of each stands in flat arrays,
+    only further ones in a dictionary.
+    """
 
     def __init__(self, text: str):
-        self.next: list[dict[str, int]] = [{}]
-        link, length = [-1], [0]
+        self.letter: list[str] = [""]
+        self.target = array("i", [-1])
+        self.more: dict[int, dict[str, int]] = {}
+        one: dict[str, str] = {}
+        link, length = array("i", [-1]), array("i", [0])
         last = 0
         for c in text:
+            c = one.setdefault(c, c)
             new = len(link)
-            self.next.append({})
+            self._add("", -1)
             link.append(0)
             length.append(length[last] + 1)
             p = last
-            while p >= 0 and c not in self.next[p]:
-                self.next[p][c] = new
+            while p >= 0 and self.way(p, c) < 0:
+                self._lead(p, c, new)
                 p = link[p]
             if p >= 0:
-                q = self.next[p][c]
+                q = self.way(p, c)
                 if length[q] == length[p] + 1:
                     link[new] = q
                 else:
                     copy = len(link)
-                    self.next.append(dict(self.next[q]))
+                    self._add(self.letter[q], self.target[q])
+                    if q in self.more:
+                        self.more[copy] = dict(self.more[q])
                     link.append(link[q])
                     length.append(length[p] + 1)
-                    while p >= 0 and self.next[p].get(c) == q:
-                        self.next[p][c] = copy
+                    while p >= 0 and self.way(p, c) == q:
+                        self._lead(p, c, copy)
                         p = link[p]
                     link[q] = link[new] = copy
             last = new
 
+    def _add(self, letter: str, target: int) -> None:
+        self.letter.append(letter)
+        self.target.append(target)
+
+    def _lead(self, state: int, c: str, to: int) -> None:
+        if self.letter[state] in ("", c):
+            self.letter[state], self.target[state] = c, to
+        else:
+            self.more.setdefault(state, {})[c] = to
+
+    def way(self, state: int, c: str) -> int:
+        """The state that a letter leads to; -1 if none."""
+        if self.letter[state] == c:
+            return self.target[state]
+        found = self.more.get(state)
+        return -1 if found is None else found.get(c, -1)
+
     def longest_match(self, text: str, start: int) -> int:
         """Length of the longest stretch from ``start`` on that occurs in the automaton's text."""
-        state, at = 0, start
+        letter, target, more = self.letter, self.target, self.more
+        state = 0
         for at in range(start, len(text)):
-            state = self.next[state].get(text[at], -1)
-            if state < 0:
-                return at - start
+            c = text[at]
+            if letter[state] == c:
+                state = target[state]
+            else:
+                found = more.get(state)
+                state = -1 if found is None else found.get(c, -1)
+                if state < 0:
+                    return at - start
         return len(text) - start
 
     def phrases(self, text: str) -> int:
@@ -141,21 +175,21 @@ def _parser(sample: dict[str, str]) -> tuple[list[str], Codes]:
             text = f" {word} "
             return [a.phrases(text) for a in automata]
 
-        return list(sample), Codes(phrases)
+        return list(sample), Codes(phrases, most=200_000)
 
     return worker_cache("language", tuple(sample.items()), built)
 
 
-def _predict(sample, names, limits):
+def _predict(sample, names, limits, column, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, codes = _parser(sample.value)
         k = len(langs)
         for batch in batches:
-            for piece in slices(batch, "__text"):
+            for piece in slices(batch, column, size=1 << 20):
                 codes.trim()
                 held: list[int] = []
                 ends, letters = [0], []
-                for text in texts_of(piece, "__text"):
+                for text in texts_of(piece, column):
                     words = words_of(text.decode("utf-8", "replace"))
                     held += map(codes.__getitem__, words)
                     ends.append(len(held))
@@ -179,14 +213,14 @@ def _predict(sample, names, limits):
                 score = np.where(known, 1 / share.sum(1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *piece.columns[:-1],
+                        *piece.columns[:kept],
                         pa.array(
                             [langs[b] if y else "und" for b, y in zip(best.tolist(), known.tolist(), strict=True)],
                             pa.string(),
                         ),
                         pa.array(np.clip(score, 0.0, 1.0)),
                     ],
-                    names=[*piece.schema.names[:-1], *names],
+                    names=[*piece.schema.names[:kept], *names],
                 )
 
     return run
@@ -205,9 +239,11 @@ def predicted(
     """
     at_hand(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(sample)
-    rows = documents.select(*keep, F.col("text").cast("string").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predict(shared, names, limits), f"{fields}, `{names[0]}` string, `{names[1]}` double")
+    rows, column = with_text(documents, keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
+    return rows.mapInArrow(
+        _predict(shared, names, limits, column, len(keep)), f"{fields}, `{names[0]}` string, `{names[1]}` double"
+    )
 
 
 def language_id(documents: DataFrame, training: DataFrame | None = None) -> DataFrame:

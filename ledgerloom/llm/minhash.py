@@ -39,6 +39,8 @@ BANDS, ROWS = 21, 6
 FIRSTS = 4
 #: Bits of an entry that are kept to tell how many entries two texts share.
 PLANES = 8
+#: Shingles of the texts that a task keeps while it compares pairs.
+CACHED_SHINGLES = 500_000
 #: Bits of the map that bounds the shingles two texts do not share.
 MAP_BITS = 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -223,7 +225,7 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     worker_cache("near duplicates", None, dict)
     for batch in batches:
-        for piece in slices(batch, size=4 << 20):
+        for piece in slices(batch, size=1 << 20):
             texts = texts_of(piece)
             full = np.array([bool(words(t)) for t in texts])
             doc, value, count = shingles(texts)
@@ -255,24 +257,29 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
     # Whole texts' shingles, of the last few texts of this task alone.
     worker_cache("near duplicates", None, dict)
     cache: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+    held = 0
 
     def of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal held
         found = cache.get(text)
         if found is None:
-            if len(cache) > 200:
+            if len(cache) > 200 or held > CACHED_SHINGLES:
                 cache.clear()
+                held = 0
             _, value, count = shingles([text])
             found = cache[text] = (value, count)
+            held += len(value)
         return found
 
     for batch in batches:
-        keep = []
-        for a, b in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b"), strict=True):
-            (va, ca), (vb, cb) = of(a), of(b)
-            _, i, j = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
-            shared = np.minimum(ca[i], cb[j]).sum()
-            keep.append(bool(shared >= threshold * (ca.sum() + cb.sum() - shared)) and shared > 0)
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for piece in slices(batch, "text_a", rows=128, size=1 << 20):
+            keep = []
+            for a, b in zip(texts_of(piece, "text_a"), texts_of(piece, "text_b"), strict=True):
+                (va, ca), (vb, cb) = of(a), of(b)
+                _, i, j = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+                shared = np.minimum(ca[i], cb[j]).sum()
+                keep.append(bool(shared >= threshold * (ca.sum() + cb.sum() - shared)) and shared > 0)
+            yield piece.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

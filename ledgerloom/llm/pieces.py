@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import Codes, at_hand, gather, slices, spans, texts_of, worker_cache
 
 BLANK = "▁"
+#: Pairs of pieces and stretches that a Python worker remembers: about 30 and 60 MB.
+MOST_PAIRS = 400_000
+MOST_STRETCHES = 400_000
 
 
 def piece_model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -83,7 +85,9 @@ class PieceModel:
                 held.setdefault(p[-4:], {1, *(k for k in (2, 3) if p[-k:] in self.id)}).add(len(p))
         for tail, found in held.items():
             self.sizes[tail] = tuple(sorted(found, reverse=True))
-        self.together: dict[tuple[str, str], bool] = {}
+        #: By the numbers of two pieces, left * span + right: whether they stay two.
+        self.span = len(self.piece) + 0x110000
+        self.together: dict[int, bool] = {}
 
     def normal(self, text: str) -> str:
         """The text as the model sees it: its own normalisation, blanks made visible, the blank in front."""
@@ -115,14 +119,19 @@ class PieceModel:
 
     def stable(self, left: str, right: str) -> bool:
         """Whether two pieces stay two when encoded together."""
-        key = (left, right)
+        key = self.number(left) * self.span + self.number(right)
         known = self.together.get(key)
         if known is None:
-            if len(self.together) > 400_000:
+            if len(self.together) > MOST_PAIRS:
                 self.together.clear()
             known = self.together[key] = self.merged(left + right) == [left, right]
         return known
 
+    def number(self, piece: str) -> int:
+        """A piece's id; beyond them the character that is none."""
+        i = self.id.get(piece)
+        return len(self.piece) + ord(piece) if i is None else i
+
     def ids_of(self, piece: str) -> list[int]:
         i = self.id.get(piece)
         if i is not None:
@@ -135,28 +144,33 @@ class PieceModel:
         """The pieces of a normalised text, committed as soon as all open paths agree."""
         base = 0  # boundary up to which pieces are committed
         back = [0]  # start of the last piece of each boundary from base on
+        number = [0]  # and its number
         total = [0.0]
         n, longest, known, tails, together, bpe = len(text), self.longest, self.id, self.tails, self.together, self.bpe
+        span, others = self.span, len(self.piece)
         for end in range(1, n + 1):
-            best, value = end - 1, -np.inf
+            best, value, own = end - 1, -np.inf, -1
             reach = tails.get(text[end - 3 : end], 2) if end > 2 else end
             for start in range(max(base, end - reach), end):
                 piece = text[start:end]
-                if piece not in known and end - start > 1:
-                    continue
+                i = known.get(piece)
+                if i is None:
+                    if end - start > 1:
+                        continue
+                    i = others + ord(piece)
                 if not bpe:
-                    score = total[start - base] + (self.score[known[piece]] if piece in known else self.worst)
+                    score = total[start - base] + (self.score[i] if i < others else self.worst)
                     if score > value:
                         best, value = start, score
                     continue
                 if start:
-                    pair = (text[back[start - base] : start], piece)
-                    stays = together.get(pair)
-                    if not (self.stable(*pair) if stays is None else stays):
+                    stays = together.get(number[start - base] * span + i)
+                    if not (self.stable(text[back[start - base] : start], piece) if stays is None else stays):
                         continue
-                best = start
+                best, own = start, i
                 break
             back.append(best)
+            number.append(self.number(text[best:end]) if bpe and own < 0 else own)
             total.append(value)
             if end - base >= 2 * longest or end == n:
                 # Where do the paths of all boundaries that can still be continued meet?
@@ -174,7 +188,7 @@ class PieceModel:
                     yield from reversed(found)
                     # The pair test looks at the last committed piece too.
                     keep = back[meet - base]
-                    back, total = back[meet - base :], total[meet - base :]
+                    back, number, total = back[meet - base :], number[meet - base :], total[meet - base :]
                     back[0], base = keep, meet
 
     def encode(self, text: str) -> list[int]:
@@ -183,25 +197,28 @@ class PieceModel:
 
     def short(self, text: str) -> list[str]:
         """The same search for a text within two windows, in which nothing is committed before the end."""
-        back = [0]
-        known, sizes, together = self.id, self.sizes, self.together
+        back, number = [0], [0]
+        known, sizes, together, span, others = self.id, self.sizes, self.together, self.span, len(self.piece)
         for end in range(1, len(text) + 1):
-            best = end - 1
+            best, own = end - 1, -1
             for size in sizes.get(text[end - 4 : end], (3, 2, 1)) if end > 3 else range(end, 0, -1):
                 start = end - size
                 if start < 0:
                     continue
                 piece = text[start:end]
-                if piece in known or size == 1:
+                i = known.get(piece)
+                if i is None and size == 1:
+                    i = others + ord(piece)
+                if i is not None:
                     if not start:
-                        best = 0
+                        best, own = 0, i
                         break
-                    pair = (text[back[start] : start], piece)
-                    stays = together.get(pair)
-                    if self.stable(*pair) if stays is None else stays:
-                        best = start
+                    stays = together.get(number[start] * span + i)
+                    if self.stable(text[back[start] : start], piece) if stays is None else stays:
+                        best, own = start, i
                         break
             back.append(best)
+            number.append(self.number(text[best:end]) if own < 0 else own)
         found, at = [], len(text)
         while at:
             found.append(text[back[at] : at])
@@ -233,25 +250,33 @@ class PieceModel:
         return found
 
 
-@lru_cache(maxsize=2)
+def model_and_codes(path: str) -> tuple[PieceModel, Codes]:
+    """One model per Python worker and the ids of its stretches, until another operator runs there."""
+
+    def made() -> tuple[PieceModel, Codes]:
+        model = PieceModel(path)
+        return model, Codes(model.encode_stretch, most=MOST_STRETCHES)
+
+    return worker_cache("pieces", path, made)
+
+
 def piece_model(path: str) -> PieceModel:
-    """One per Python worker."""
-    return PieceModel(path)
+    return model_and_codes(path)[0]
 
 
 def piece_codes(path: str) -> Codes:
-    return worker_cache("pieces", path, lambda: Codes(piece_model(path).encode_stretch, most=700_000))
+    return model_and_codes(path)[1]
 
 
 def _encoded(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, codes = piece_model(path), piece_codes(path)
+        model, codes = model_and_codes(path)
         raw = np.frombuffer(b"".join(model.raw), np.uint8)
         width = np.fromiter(map(len, model.raw), np.int64, len(model.raw))
         at = spans(width)[:-1]
         for batch in batches:
             # The places of all bytes of a slice are held at once.
-            for piece in slices(batch, size=2 << 20):
+            for piece in slices(batch, size=1 << 20):
                 codes.trim()
                 texts = [t.decode("utf-8", "replace") for t in texts_of(piece)]
                 normal = [model.normal(t) for t in texts]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Codes, at_hand, fold, slices, stored, texts_of, words, worker_cache
+from ledgerloom.llm.common import Codes, at_hand, fold, slices, stored, texts_of, with_text, words, worker_cache
 
 #: Bounds of the sample that the model is fitted on, and features that it keeps.
 SAMPLE_POSITIVE = 4_000
@@ -44,10 +44,11 @@ class Model:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_cache("toxicity sample", None, dict)
     cache: dict[bytes, list[int]] = {}
     for batch in batches:
-        for piece in slices(batch):
-            if len(cache) > 100_000:
+        for piece in slices(batch, size=1 << 20):
+            if len(cache) > 50_000:
                 cache.clear()
             found = []
             for text in texts_of(piece):
@@ -174,10 +175,10 @@ def learn(documents: DataFrame, labels: DataFrame, prior: float | None = None) -
 
 def _codes(model: Model) -> Codes:
     key = (model.bias, tuple(model.weights.items()))
-    return worker_cache("toxicity", key, lambda: Codes(model.of_word))
+    return worker_cache("toxicity", key, lambda: Codes(model.of_word, most=200_000))
 
 
-def _scored(shared, names):
+def _scored(shared, names, column, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         codes = _codes(model)
@@ -185,11 +186,11 @@ def _scored(shared, names):
         for f, a in model.weights.items():
             weight[f] = a
         for batch in batches:
-            for piece in slices(batch, "__text"):
+            for piece in slices(batch, column, size=1 << 20):
                 codes.trim()
                 held: list[int] = []
                 ends = [0]
-                for text in texts_of(piece, "__text"):
+                for text in texts_of(piece, column):
                     held += map(codes.__getitem__, words(text))
                     ends.append(len(held))
                 n = piece.num_rows
@@ -199,8 +200,8 @@ def _scored(shared, names):
                 z = model.bias + np.bincount(pairs >> 32, weight[pairs & 0xFFFFFFFF], n)
                 score = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[:-1], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                    names=[*piece.schema.names[:-1], *names],
+                    [*piece.columns[:kept], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                    names=[*piece.schema.names[:kept], *names],
                 )
 
     return run
@@ -212,9 +213,9 @@ def scored(
     """Columns ``keep`` of the documents with score and prediction, so named; a NULL text scores as an empty one."""
     at_hand(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    rows = documents.select(*keep, F.col("text").cast("string").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_scored(shared, names), f"{fields}, `{names[0]}` double, `{names[1]}` int")
+    rows, column = with_text(documents, keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
+    return rows.mapInArrow(_scored(shared, names, column, len(keep)), f"{fields}, `{names[0]}` double, `{names[1]}` int")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
